@@ -229,12 +229,17 @@ SELECT (SELECT MAX(kafka_timestamp) FROM bronze) AS bronze_last_ingest,
   (SELECT MAX(CAST(change_date AS TIMESTAMP)) FROM daily) AS gold_last_build""",
     ),
     "seed_users": _with(_SEED, select="SELECT * FROM seed"),
-    "insert_if_absent": _with(
-        _SEED,
-        select="""
-SELECT id, name, email FROM seed s
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = s.id)""",
-    ),
+    "insert_if_absent": """
+WITH offered AS (
+  SELECT CAST(o_custkey AS INTEGER) AS id,
+    trim(o_orderstatus) || ' ' || trim(o_orderpriority) AS name,
+    lower(trim(o_orderstatus) || '.' || trim(o_orderpriority) || '@example.com') AS email
+  FROM orders
+), first_offer AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY name, email) AS rn FROM offered
+)
+SELECT id, name, email FROM first_offer o
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = o.id)""".strip(),
     "merge_upsert_delete": _with(
         _LOG,
         _latest("even", "kafka_offset % 2 = 0"),

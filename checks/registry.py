@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from checks.change_log import ACCOUNTS, change_log, events_table
 from tidelog import schemas
+from tidelog.config import ORDER_COLUMNS
 from tidelog.operators import (
     add_tallies,
     apply_changes,
@@ -28,6 +29,7 @@ from tidelog.operators import (
     seed_users,
     to_silver,
 )
+from tidelog.operators.latest import state_inputs
 from tidelog.plans import jobs, reports
 from tidelog.plans.layers import advance_gold, advance_silver
 from tidelog.session import scratch_root
@@ -66,14 +68,31 @@ def _portable(df: DataFrame) -> DataFrame:
     )
 
 
-def _bronze(spark, sf_dir) -> DataFrame:
-    """Bronze with the log's own time standing in for the ingestion time."""
-    events = parse_events(change_log(spark, sf_dir), ACCOUNTS)
-    return events.withColumn("_ingestion_ts", F.col("kafka_timestamp"))
+def _bronze(spark, sf_dir, *columns: str) -> DataFrame:
+    """Bronze (or some of its columns) straight from the change log.
+
+    The log's own time stands in for the ingestion time.
+    """
+    wanted = list(columns) or schemas.bronze(ACCOUNTS).names
+    log_time = "_ingestion_ts" in wanted
+    if log_time and "kafka_timestamp" not in wanted:
+        wanted.append("kafka_timestamp")
+    events = parse_events(change_log(spark, sf_dir), ACCOUNTS, wanted)
+    return events.withColumn("_ingestion_ts", F.col("kafka_timestamp")) if log_time else events
+
+
+def _keyed_events(spark, sf_dir) -> DataFrame:
+    """The Bronze columns that Silver is built from."""
+    return _bronze(spark, sf_dir, *state_inputs(ACCOUNTS))
+
+
+def _timed_operations(spark, sf_dir) -> DataFrame:
+    """The Bronze columns that the daily tally is built from."""
+    return _bronze(spark, sf_dir, "source_ts_ms", "op_type", "kafka_offset")
 
 
 def _silver(spark, sf_dir, method: str = "window") -> DataFrame:
-    return to_silver(latest_state(_bronze(spark, sf_dir), ACCOUNTS, method), ACCOUNTS)
+    return to_silver(latest_state(_keyed_events(spark, sf_dir), ACCOUNTS, method), ACCOUNTS)
 
 
 def _no_clock(df: DataFrame) -> DataFrame:
@@ -106,13 +125,13 @@ def gold_email_domain(spark, sf_dir):
 
 @query
 def gold_daily_changes(spark, sf_dir):
-    return _no_clock(daily_changes(_bronze(spark, sf_dir)))
+    return _no_clock(daily_changes(_timed_operations(spark, sf_dir)))
 
 
 @query
 def gold_daily_incremental(spark, sf_dir):
     """The history in two parts, tallied apart and added."""
-    bronze = _bronze(spark, sf_dir)
+    bronze = _timed_operations(spark, sf_dir)
     even = F.col("kafka_offset") % 2 == 0
     return _no_clock(
         add_tallies(
@@ -127,17 +146,18 @@ def gold_daily_incremental(spark, sf_dir):
 
 @query
 def op_mix(spark, sf_dir):
-    return reports.op_mix(_bronze(spark, sf_dir))
+    return reports.op_mix(_timed_operations(spark, sf_dir))
 
 
 @query
 def report_daily_30(spark, sf_dir):
-    return reports.recent_days(daily_changes(_bronze(spark, sf_dir)))
+    return reports.recent_days(daily_changes(_timed_operations(spark, sf_dir)))
 
 
 @query
 def latest_events_20(spark, sf_dir):
-    newest = reports.latest_events(_bronze(spark, sf_dir), ACCOUNTS)
+    columns = ["id", "op_type", "after_name", "after_email", "_ingestion_ts", *ORDER_COLUMNS]
+    newest = reports.latest_events(_bronze(spark, sf_dir, *columns), ACCOUNTS)
     return newest.withColumnRenamed("_ingestion_ts", "kafka_timestamp")
 
 
@@ -169,7 +189,7 @@ def domain_share(spark, sf_dir):
 
 @query
 def layer_counts(spark, sf_dir):
-    bronze, silver = _bronze(spark, sf_dir), _silver(spark, sf_dir)
+    bronze, silver = _timed_operations(spark, sf_dir), _silver(spark, sf_dir)
     layers = (bronze, silver, domain_counts(silver, ACCOUNTS), daily_changes(bronze))
     return reports.layer_counts(dict(zip(ACCOUNTS.layer_tables, layers, strict=True)))
 
@@ -177,7 +197,7 @@ def layer_counts(spark, sf_dir):
 @query
 def freshness(spark, sf_dir):
     """Event-time columns stand in for the three write times."""
-    bronze = _bronze(spark, sf_dir)
+    bronze = _bronze(spark, sf_dir, "source_ts_ms", "op_type", "_ingestion_ts")
     silver = _silver(spark, sf_dir).withColumn("silver_built_at", F.col("source_ts"))
     daily = daily_changes(bronze).withColumn(
         "gold_built_at", F.col("change_date").cast("timestamp")
@@ -200,10 +220,12 @@ def run_seed_users(spark, sf_dir):
 
 @query
 def run_insert_if_absent(spark, sf_dir):
-    """Customers to add to the table of those who have ordered."""
+    """Rows from orders, many per key, into a table that holds the suppliers' keys."""
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    present = seed_users(suppliers, "s_suppkey", "s_name", "s_name")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    buyers = orders.select(F.col("o_custkey").cast("int").alias("id")).distinct()
-    return insert_if_absent(buyers, _seed(spark, sf_dir), ["id"])
+    rows = seed_users(orders, "o_custkey", "o_orderstatus", "o_orderpriority")
+    return insert_if_absent(present, rows, ["id"])
 
 
 # -- Merge ----------------------------------------------------------------------
@@ -212,7 +234,7 @@ def run_insert_if_absent(spark, sf_dir):
 @query
 def merge_upsert_delete(spark, sf_dir):
     """The history in two batches, even offsets first, by the reference clauses."""
-    bronze = _bronze(spark, sf_dir)
+    bronze = _keyed_events(spark, sf_dir)
     even = F.col("kafka_offset") % 2 == 0
     empty = spark.createDataFrame([], schemas.state(ACCOUNTS))
     state = empty
@@ -225,7 +247,7 @@ def merge_upsert_delete(spark, sf_dir):
 @query
 def merge_ordered(spark, sf_dir):
     """The history in three batches out of order, one of them twice."""
-    bronze = _bronze(spark, sf_dir)
+    bronze = _keyed_events(spark, sf_dir)
     parts = [bronze.where(F.col("kafka_offset") % 3 == i) for i in (2, 0, 1, 2)]
     state = latest_state(parts[0], ACCOUNTS)
     for part in parts[1:]:

@@ -13,6 +13,12 @@ from tidelog.functions.events import DELETE
 METHODS = ("window", "max_by")
 
 
+def state_inputs(spec: TableSpec) -> list[str]:
+    """Bronze columns that :func:`latest_state` reads."""
+    images = [f"{side}_{v}" for side in ("before", "after") for v in spec.value_names]
+    return [*spec.key_names, *images, *ORDER_COLUMNS, "op_type", "_ingestion_ts"]
+
+
 def latest_state(
     bronze: DataFrame, spec: TableSpec, method: str = "window", image: str = "coalesce"
 ) -> DataFrame:

@@ -11,6 +11,10 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode.  A stage whose
+    # generated code is larger (JSON parsing with many fields) would run
+    # interpreted; below this limit Spark falls back to per-operator code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
     # Silver has one sorted file per bucket: trust the order instead of sorting again.
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
