@@ -1,0 +1,108 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelog import Field, Settings, TableSpec, spec_for
+from tidelog.functions import clean, email_domain, event_date, event_time, op_name
+from tidelog.sources import kafka_options
+
+
+def _one(spark, column, value, kind="string"):
+    row = spark.createDataFrame([(value,)], f"v {kind}").select(column.alias("r")).first()
+    return row["r"]
+
+
+@pytest.mark.parametrize(
+    ("email", "domain"),
+    [
+        ("A@B.com", "b.com"),
+        ("foo@", ""),
+        ("a@b@c", "b"),
+        ("@x", "x"),
+        (" a@b ", "b"),
+        ("noat", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_email_domain(spark, email, domain):
+    assert _one(spark, email_domain(F.col("v")), email) == domain
+
+
+@pytest.mark.parametrize(
+    ("code", "name"),
+    [("c", "INSERT"), ("u", "UPDATE"), ("d", "DELETE"), ("r", "SNAPSHOT"), ("t", "UNKNOWN"),
+     ("", "UNKNOWN"), (None, "UNKNOWN")],
+)
+def test_op_name(spark, code, name):
+    assert _one(spark, op_name(F.col("v")), code) == name
+
+
+def test_trim_removes_spaces_only(spark):
+    assert _one(spark, clean(F.col("v"), Field("v", clean="lower_trim")), " A\t ") == "a\t"
+    assert _one(spark, clean(F.col("v"), Field("v")), " A ") == " A "
+
+
+@pytest.mark.parametrize(
+    ("ms", "day"),
+    [
+        (0, dt.date(1970, 1, 1)),
+        (-1, dt.date(1969, 12, 31)),
+        (86_399_999, dt.date(1970, 1, 1)),
+        (1_706_659_199_999, dt.date(2024, 1, 30)),
+        (None, None),
+        (2**63 - 1, None),
+        (-(2**63), None),
+    ],
+)
+def test_event_date_is_utc_and_never_overflows(spark, ms, day):
+    assert _one(spark, event_date(F.col("v")), ms, "bigint") == day
+
+
+def test_event_time_keeps_millis(spark):
+    text = event_time(F.col("v")).cast("string")
+    assert _one(spark, text, 1_706_659_199_123, "bigint") == "2024-01-30 23:59:59.123"
+    assert _one(spark, text, 2**62, "bigint") is None
+
+
+def test_spec_rejects_mistakes():
+    with pytest.raises(ValueError, match="key"):
+        TableSpec("t", "t", (), (Field("a"),))
+    with pytest.raises(ValueError, match="repeats"):
+        TableSpec("t", "t", (Field("a"),), (Field("a"),))
+    with pytest.raises(ValueError, match="payload"):
+        TableSpec("t", "t", (Field("a"),), (Field("b"),), domain_of="c")
+    with pytest.raises(ValueError, match="unknown topic"):
+        spec_for("nope")
+
+
+def test_kafka_options():
+    plain = kafka_options(Settings(bootstrap_servers="h:1"))
+    assert plain["startingOffsets"] == "earliest"
+    assert plain["failOnDataLoss"] == "false"
+    assert not any("sasl" in k for k in plain)
+
+    sasl = kafka_options(
+        Settings(
+            bootstrap_servers="h:1",
+            security_protocol="SASL_PLAINTEXT",
+            kafka_username="u",
+            kafka_password='p"w',
+        )
+    )
+    assert sasl["kafka.sasl.mechanism"] == "SCRAM-SHA-512"
+    assert 'username="u" password="p\\"w";' in sasl["kafka.sasl.jaas.config"]
+
+    with pytest.raises(ValueError, match="BOOTSTRAP"):
+        kafka_options(Settings())
+    with pytest.raises(ValueError, match="KAFKA_PASSWORD"):
+        kafka_options(Settings(bootstrap_servers="h:1", security_protocol="SASL_SSL"))
+
+
+def test_settings_hide_secrets():
+    env = {"KAFKA_PASSWORD": "hunter2", "PG_PASSWORD": "hunter3", "STREAMING_TRIGGER_SECONDS": "5"}
+    settings = Settings.from_env(env)
+    assert settings.trigger_seconds == 5
+    shown = repr(settings) + repr(settings.describe())
+    assert "hunter" not in shown

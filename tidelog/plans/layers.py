@@ -5,6 +5,7 @@ Batch jobs and micro-batches run the same steps.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.config import LOG_POSITION
@@ -46,9 +47,19 @@ def advance_silver(lake: Lake, mode: str = "ordered", image: str = "coalesce") -
     return rows
 
 
-def rebuild_silver(
-    lake: Lake, method: str = "window", image: str = "coalesce"
-) -> int | None:
+def fresh_state(lake: Lake, image: str = "coalesce") -> DataFrame:
+    """Silver including the batches it does not cover yet, merged while reading.
+
+    With a large Silver, merge it seldom and read it through this.
+    """
+    done = lake.version(SILVER)
+    if done == lake.last_batch():
+        return lake.read(SILVER, done)
+    changes = latest_state(lake.bronze(after=done), lake.spec, image=image)
+    return apply_changes(lake.read(SILVER, done), changes, lake.spec) if done >= 0 else changes
+
+
+def rebuild_silver(lake: Lake, method: str = "window", image: str = "coalesce") -> int | None:
     """Replace Silver by a build from the whole history."""
     last = lake.last_batch()
     if last < 0:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tidelog.functions.events import DELETE
 from tidelog.sinks.lake import DAILY, DOMAIN, SILVER, VERSIONED, Lake
 
 
@@ -44,6 +47,20 @@ def retire_versions(lake: Lake, keep: int = 100) -> dict[str, list[int]]:
     return {table: lake.retire(table, keep) for table in VERSIONED}
 
 
+def forget_deletes(lake: Lake, before_ms: int) -> int | None:
+    """Drop deleted keys last heard of before ``before_ms`` from the newest Silver.
+
+    Silver keeps deleted keys so that a late older event cannot bring one back.
+    Choose a time before which no more events are expected.
+    """
+    version = lake.version(SILVER)
+    if version < 0:
+        return None
+    gone = (F.col("op_type") == DELETE) & (F.col("source_ts_ms") < before_ms)
+    kept = lake.read(SILVER, version).where(~F.coalesce(gone, F.lit(False)))
+    return lake.publish(SILVER, kept, version, merged_onto=version, replace=True)
+
+
 def remove_orphans(lake: Lake) -> list[str]:
     """Delete folders of writes that never committed.  Not while a job is running."""
     return lake.drop_unfinished()

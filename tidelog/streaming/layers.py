@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators import parse_events
+from tidelog.config import TableSpec
+from tidelog.operators import daily_changes, domain_counts, parse_events
 from tidelog.plans.layers import advance_gold, advance_silver
+from tidelog.sinks import tables
 from tidelog.sinks.lake import Lake
 
 log = logging.getLogger(__name__)
@@ -42,19 +45,56 @@ def start_layers(
     def micro_batch(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
         query_id = context.getLocalProperty(_QUERY_ID) or query_name or "stream"
-        process_batch(
-            batch,
-            f"{query_id}-{batch_id}",
-            lake,
-            merge=not bronze_only and (batch_id + 1) % merge_every == 0,
-            mode=mode,
-        )
-
-    writer = (
-        parse_events(change_log, lake.spec)
-        .writeStream.foreachBatch(micro_batch)
-        .option("checkpointLocation", checkpoint)
-    )
+        merge = not bronze_only and (batch_id + 1) % merge_every == 0
+        process_batch(batch, f"{query_id}-{batch_id}", lake, merge=merge, mode=mode)
+
+    events = parse_events(change_log, lake.spec)
+    return _start(events, micro_batch, checkpoint, query_name, trigger_seconds)
+
+
+def start_table_layers(
+    change_log: DataFrame,
+    spec: TableSpec,
+    checkpoint: str,
+    *,
+    query_name: str | None = None,
+    trigger_seconds: int | None = 30,
+) -> StreamingQuery:
+    """The same three layers in catalog tables that support ``MERGE``.
+
+    :func:`tidelog.sinks.bootstrap` creates them.  Here a repeated micro-batch
+    can append to Bronze twice, as the catalog's append has no batch identity.
+    """
+
+    def micro_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                log.info("batch %d: no new events", batch_id)
+                return
+            tables.append_rows(batch, spec.bronze_table)
+            tables.merge_into(batch, spec, spec.silver_table)
+            session = batch.sparkSession
+            if spec.domain_column:
+                domains = domain_counts(session.table(spec.silver_table), spec)
+                tables.replace_table(domains, spec.domain_table)
+            daily = daily_changes(session.table(spec.bronze_table))
+            tables.replace_table(daily, spec.daily_table)
+        finally:
+            batch.unpersist()
+
+    events = parse_events(change_log, spec)
+    return _start(events, micro_batch, checkpoint, query_name, trigger_seconds)
+
+
+def _start(
+    events: DataFrame,
+    micro_batch: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    query_name: str | None,
+    trigger_seconds: int | None,
+) -> StreamingQuery:
+    writer = events.writeStream.foreachBatch(micro_batch).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     if trigger_seconds is None:
