@@ -20,6 +20,9 @@ def spark(tmp_path_factory):
         {
             "spark.master": "local[4]",
             "spark.sql.shuffle.partitions": "4",
+            # Tiny inputs: compiling code costs more than running it.
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
+            "spark.sql.codegen.wholeStage": "false",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",

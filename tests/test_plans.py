@@ -1,0 +1,57 @@
+"""Shapes of physical plans that scale depends on."""
+
+import pytest
+
+from checks.registry import QUERIES, events_table
+from tidelog import USERS, schemas
+from tidelog.operators import daily_changes, drop_older_than_marks, latest_state
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored_bronze(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "bronze")
+    spark.createDataFrame([], schemas.bronze(USERS)).write.parquet(path)
+    return spark.read.schema(schemas.bronze(USERS)).parquet(path)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
+def test_no_pairing_of_whole_tables(spark, name):
+    plan = physical(QUERIES[name](spark, SF_DIR))
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert "Python" not in plan
+
+
+def test_latest_state_reduces_before_its_only_shuffle(stored_bronze):
+    plan = physical(latest_state(stored_bronze, USERS))
+    assert plan.count("Exchange") == 1
+    before_shuffle = plan[plan.index("Exchange") :]
+    assert "WindowGroupLimit" in before_shuffle
+    assert "Partial" in before_shuffle
+    by_aggregate = physical(latest_state(stored_bronze, USERS, "max_by"))
+    assert by_aggregate.count("Exchange") == 1
+    assert "partial_max_by" in by_aggregate[by_aggregate.index("Exchange") :]
+
+
+def test_scan_reads_what_is_used(stored_bronze):
+    plan = physical(daily_changes(stored_bronze))
+    assert "PushedFilters: [IsNotNull(source_ts_ms)]" in plan
+    assert "ReadSchema: struct<source_ts_ms:bigint,op_type:string>" in plan
+
+
+def test_marks_filter_does_not_shuffle_the_log(spark, tmp_path):
+    log = events_table(spark, SF_DIR).selectExpr(
+        "event_type AS topic", "int(user_id % 3) AS partition", "event_id AS offset"
+    )
+    marks = spark.createDataFrame([("t", 1, 5)], schemas.log_marks())
+    marks.write.parquet(str(tmp_path / "marks"))
+    stored = spark.read.schema(schemas.log_marks()).parquet(str(tmp_path / "marks"))
+    plan = physical(drop_older_than_marks(log, stored))
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan

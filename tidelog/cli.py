@@ -75,13 +75,13 @@ def _run(args, settings: Settings, spec, spark) -> int:
         query = jobs.stream(
             log, lake, settings, available_now=args.available_now, merge_every=args.merge_every
         )
-        jobs.await_all(spark, [query])
+        jobs.await_all([query])
     elif args.mode == "kafka" and args.consume_mode == "streaming":
         if not settings.checkpoint:
             raise SystemExit("set --checkpoint-dir or STREAMING_CHECKPOINT")
         log = stream_change_log(spark, spec, **source)
         trigger = None if args.available_now else settings.trigger_seconds
-        jobs.await_all(spark, jobs.stream_bronze([(log, lake)], settings.checkpoint, trigger))
+        jobs.await_all(jobs.stream_bronze([(log, lake)], settings.checkpoint, trigger))
     elif args.mode == "kafka":
         print(f"bronze: {jobs.ingest(batch_log(), lake, dedupe)} rows added")
         print(jobs.verify(lake))

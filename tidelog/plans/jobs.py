@@ -6,7 +6,7 @@ import logging
 import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.config import Settings
@@ -152,14 +152,16 @@ def stream_bronze(
     return queries
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until every query ends; the first failure stops the others and is raised."""
+def await_all(queries: list[StreamingQuery], poll_seconds: int = 5) -> None:
+    """Wait until every query ends; the first failure stops the others and is raised.
+
+    Only these queries are watched, whatever else the session runs.
+    """
+    waiting = list(queries)
     try:
-        while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-        for query in queries:
-            query.awaitTermination()
+        while waiting:
+            # Raises when the query has failed.
+            waiting = [q for q in waiting if not q.awaitTermination(poll_seconds)]
     except KeyboardInterrupt:
         log.info("interrupted, stopping")
     finally:
