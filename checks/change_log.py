@@ -27,6 +27,15 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a small input to every core; a large one has enough splits already.
+
+    The rows are narrow here and JSON text later, so this is the cheap place.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six change-log columns for every row of ``events``."""
     n, user = F.col("event_id"), F.col("user_id")
@@ -81,8 +90,9 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     # once more just to test it.
     text = F.coalesce(envelope, F.lit(""))
     value = F.when(every(97), F.lit(None)).when(every(101), F.lit("{bad")).otherwise(text)
+    events = events_table(spark, sf_dir).select("event_id", "user_id", "event_type", "ts")
     return (
-        events_table(spark, sf_dir)
+        _spread(events, "event_id")
         .select("*", operation.alias("op"), name.alias("name"), email.alias("email"))
         .select(
             user.cast("string").cast("binary").alias("key"),

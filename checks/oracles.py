@@ -157,6 +157,15 @@ SELECT op_type, CAST(COUNT(*) AS BIGINT) AS event_count,
   make_timestamp(MAX(source_ts_ms) * 1000) AS last_event
 FROM bronze GROUP BY op_type ORDER BY event_count DESC, op_type""",
     ),
+    "op_counts": _with(
+        _LOG,
+        select="""
+SELECT op_type, CAST(COUNT(*) AS BIGINT) AS event_count
+FROM bronze GROUP BY op_type ORDER BY event_count DESC, op_type""",
+    ),
+    "daily_activity": _with(
+        _LOG, _DAILY, select="SELECT * FROM daily ORDER BY change_date, op_type"
+    ),
     "report_daily_30": _with(
         _LOG,
         _DAILY,
@@ -207,6 +216,15 @@ FROM silver""",
 SELECT email_domain, user_count,
   CAST(ROUND(user_count * 100.0 / SUM(user_count) OVER (), 2) AS DOUBLE) AS pct
 FROM domains ORDER BY user_count DESC, email_domain LIMIT 20""",
+    ),
+    "domain_share_all": _with(
+        _LOG,
+        _SILVER,
+        _DOMAINS,
+        select="""
+SELECT email_domain, user_count,
+  CAST(ROUND(user_count * 100.0 / SUM(user_count) OVER (), 2) AS DOUBLE) AS pct_of_total
+FROM domains ORDER BY user_count DESC, email_domain""",
     ),
     "layer_counts": _with(
         _LOG,

@@ -149,6 +149,16 @@ def op_mix(spark, sf_dir):
     return reports.op_mix(_timed_operations(spark, sf_dir))
 
 
+@query
+def op_counts(spark, sf_dir):
+    return reports.op_counts(_bronze(spark, sf_dir, "op_type"))
+
+
+@query
+def daily_activity(spark, sf_dir):
+    return reports.daily_activity(daily_changes(_timed_operations(spark, sf_dir)))
+
+
 @query
 def report_daily_30(spark, sf_dir):
     return reports.recent_days(daily_changes(_timed_operations(spark, sf_dir)))
@@ -187,6 +197,12 @@ def domain_share(spark, sf_dir):
     return reports.domain_share(domain_counts(_silver(spark, sf_dir), ACCOUNTS))
 
 
+@query
+def domain_share_all(spark, sf_dir):
+    domains = domain_counts(_silver(spark, sf_dir), ACCOUNTS)
+    return reports.domain_share(domains, rows=None, percent="pct_of_total")
+
+
 @query
 def layer_counts(spark, sf_dir):
     bronze, silver = _timed_operations(spark, sf_dir), _silver(spark, sf_dir)

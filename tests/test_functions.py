@@ -82,6 +82,10 @@ def test_kafka_options():
     assert plain["startingOffsets"] == "earliest"
     assert plain["failOnDataLoss"] == "false"
     assert not any("sasl" in k for k in plain)
+    assert "minPartitions" not in plain
+    split = kafka_options(Settings.from_env({"KAFKA_BOOTSTRAP_SERVERS": "h:1",
+                                             "TIDELOG_MIN_PARTITIONS": "64"}))
+    assert split["minPartitions"] == "64"
 
     sasl = kafka_options(
         Settings(

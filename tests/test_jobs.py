@@ -175,6 +175,12 @@ def test_seed(spark):
     assert tuple(seeded[0]) == (1, "ADA LOVELACE", "ada.lovelace@example.com")
     assert tuple(seeded[1]) == (2, None, None)
 
+    rows = seed_users(people, "actor_id", "first", "last")
+    for _ in range(2):
+        jobs.seed(spark, rows, "default.seeded_users", ["id"])
+    assert spark.table("default.seeded_users").count() == 2
+    spark.sql("DROP TABLE default.seeded_users")
+
 
 def test_jdbc_needs_an_address(spark):
     with pytest.raises(ValueError, match="JDBC"):

@@ -141,6 +141,15 @@ def test_owner_keeps_its_number_until_overtaken(lake, log):
     assert lake.reserve("b") == 3
 
 
+def test_only_the_newest_reservation_of_a_query_is_kept(lake, log):
+    events = parse_events(log.frame(batches(log, 1)[0]), USERS)
+    for owner in ("q-0", "q-1", "ingest-x", "q-2"):
+        lake.write_bronze(events, lake.reserve(owner))
+    assert lake.forget_owners() == 2
+    assert lake.reserve("q-2") == 3
+    assert lake.reserve("q-3") == 4
+
+
 def test_uncommitted_folders_are_invisible_and_can_be_removed(lake, log, spark):
     made = batches(log, 2)
     fill(lake, log, made)

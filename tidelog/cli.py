@@ -76,6 +76,9 @@ def _run(args, settings: Settings, spec, spark) -> int:
             log, lake, settings, available_now=args.available_now, merge_every=args.merge_every
         )
         jobs.await_all([query])
+        # A drained stream may end between two merges.
+        if args.available_now:
+            print(jobs.transform(lake))
     elif args.mode == "kafka" and args.consume_mode == "streaming":
         if not settings.checkpoint:
             raise SystemExit("set --checkpoint-dir or STREAMING_CHECKPOINT")

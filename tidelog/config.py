@@ -126,6 +126,7 @@ class Settings:
     trigger_seconds: int = 30
     query_name: str = "users-cdc-streaming"
     max_offsets_per_trigger: int = 10_000
+    min_partitions: int | None = None
     jdbc_url: str | None = None
     jdbc_user: str | None = None
     jdbc_password: str | None = field(default=None, repr=False)
@@ -147,6 +148,7 @@ class Settings:
             max_offsets_per_trigger=int(
                 env.get("TIDELOG_MAX_OFFSETS_PER_TRIGGER", cls.max_offsets_per_trigger)
             ),
+            min_partitions=int(n) if (n := env.get("TIDELOG_MIN_PARTITIONS")) else None,
             jdbc_url=env.get("TIDELOG_JDBC_URL"),
             jdbc_user=env.get("PG_USER"),
             jdbc_password=env.get("PG_PASSWORD"),

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.config import Settings
-from tidelog.operators import drop_older_than_marks, drop_seen, parse_events
+from tidelog.operators import (
+    drop_older_than_marks,
+    drop_seen,
+    insert_if_absent,
+    parse_events,
+)
 from tidelog.plans import reports
 from tidelog.plans.layers import (
     advance_gold,
@@ -21,6 +26,7 @@ from tidelog.plans.layers import (
 )
 from tidelog.sinks.lake import MARKS, Lake
 from tidelog.sinks.maintenance import compact_bronze, retire_versions
+from tidelog.sinks.tables import append_rows, create_if_absent
 from tidelog.streaming.layers import start_layers
 
 log = logging.getLogger(__name__)
@@ -91,6 +97,15 @@ def run_stages(stages: dict[str, Callable[[], object]]) -> dict[str, object]:
     return results
 
 
+def seed(spark: SparkSession, rows: DataFrame, table: str, key: Sequence[str]) -> None:
+    """Insert rows whose key the table does not hold; create the table if absent.
+
+    Running it again inserts nothing.
+    """
+    create_if_absent(spark, table, rows.schema)
+    append_rows(insert_if_absent(spark.table(table), rows, key), table)
+
+
 def run_all(change_log: Callable[[], DataFrame], lake: Lake, dedupe: str = "exact") -> dict:
     """Bronze, Silver, Gold, then the row counts of every layer."""
     return run_stages(
@@ -174,7 +189,11 @@ def stop(queries: Iterable[StreamingQuery]) -> None:
 
 
 def maintain(lake: Lake, keep: int = 100) -> dict[str, object]:
-    """Compact Bronze and retire old versions."""
+    """Compact Bronze, retire old versions, forget old batch reservations."""
     return run_stages(
-        {"compact": lambda: compact_bronze(lake), "retire": lambda: retire_versions(lake, keep)}
+        {
+            "compact": lambda: compact_bronze(lake),
+            "retire": lambda: retire_versions(lake, keep),
+            "owners": lake.forget_owners,
+        }
     )

@@ -39,6 +39,17 @@ def op_mix(bronze: DataFrame) -> DataFrame:
     )
 
 
+def op_counts(bronze: DataFrame) -> DataFrame:
+    """Events per operation, most frequent first."""
+    counts = bronze.groupBy("op_type").agg(F.count("*").alias("event_count"))
+    return counts.orderBy(F.desc("event_count"), "op_type")
+
+
+def daily_activity(daily: DataFrame) -> DataFrame:
+    """The whole daily tally, oldest day first."""
+    return daily.select("change_date", "op_type", "event_count").orderBy("change_date", "op_type")
+
+
 def recent_days(daily: DataFrame, rows: int = 30) -> DataFrame:
     """Newest ``rows`` rows (not days) of the daily tally."""
     newest = daily.orderBy(F.col("change_date").desc_nulls_last(), F.col("op_type").asc())
@@ -101,16 +112,19 @@ def quality_checks(silver: DataFrame, name: str = "name", email: str = "email")
 # -- Gold ---------------------------------------------------------------------
 
 
-def domain_share(domains: DataFrame, rows: int = 20) -> DataFrame:
-    """Largest domains with their percentage of all rows, not of the rows shown.
+def domain_share(
+    domains: DataFrame, rows: int | None = 20, percent: str = "pct"
+) -> DataFrame:
+    """Domains by size with their percentage of all rows, not of the rows shown.
 
-    The total is a scalar subquery over partial sums.  ``SUM() OVER ()`` would
-    move every domain into one task.
+    The largest ``rows`` of them, or all.  The total is a scalar subquery over
+    partial sums: ``SUM() OVER ()`` would move every domain into one task.
     """
     total = domains.agg(F.sum("user_count").alias("total")).scalar()
-    top = domains.orderBy(F.desc("user_count"), "email_domain").limit(rows)
+    ordered = domains.orderBy(F.desc("user_count"), "email_domain")
+    shown = ordered if rows is None else ordered.limit(rows)
     share = F.round(F.col("user_count") * F.lit(100.0) / total, 2)
-    return top.select("email_domain", "user_count", share.cast("double").alias("pct"))
+    return shown.select("email_domain", "user_count", share.cast("double").alias(percent))
 
 
 def freshness(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:

@@ -72,6 +72,20 @@ class Lake:
         self.folders.make("batch_owners", f"{number:012d}--{owner}")
         return number
 
+    def forget_owners(self) -> int:
+        """Drop batch reservations that can no longer be retried.
+
+        A query only ever repeats its newest batch, so that one is kept.
+        """
+        names = [name.partition("--") for name in self.folders.names("batch_owners")]
+        newest: dict[str, str] = {}
+        for number, _, owner in names:  # names are sorted by number
+            newest[owner.rpartition("-")[0]] = number
+        stale = [(n, who) for n, _, who in names if newest[who.rpartition("-")[0]] != n]
+        for number, owner in stale:
+            self.folders.drop("batch_owners", f"{number}--{owner}")
+        return len(stale)
+
     def _is_committed(self, number: int) -> bool:
         done = self.folders.is_done("bronze", f"batch={number}")
         return done or number <= self._compacted_through()

@@ -13,7 +13,11 @@ FILE_FORMATS = ("parquet", "orc", "json")
 
 
 def kafka_options(settings: Settings) -> dict[str, str]:
-    """Kafka source options.  SASL options only when the protocol asks for them."""
+    """Kafka source options.  SASL options only when the protocol asks for them.
+
+    ``min_partitions`` splits the offset ranges of a topic with few partitions
+    over more tasks, so that parsing is not limited to one task per partition.
+    """
     if not settings.bootstrap_servers:
         raise ValueError("KAFKA_BOOTSTRAP_SERVERS is not set")
     options = {
@@ -22,6 +26,8 @@ def kafka_options(settings: Settings) -> dict[str, str]:
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
     }
+    if settings.min_partitions:
+        options["minPartitions"] = str(settings.min_partitions)
     if settings.security_protocol.startswith("SASL"):
         if not settings.kafka_username or not settings.kafka_password:
             raise ValueError("SASL needs KAFKA_USERNAME and KAFKA_PASSWORD")
