@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 _DONE = "_SUCCESS"
@@ -27,11 +29,17 @@ class Folders:
         self._fs.mkdirs(self._path(self.at(*parts)))
 
     def names(self, *parts: str) -> list[str]:
-        """Names of the folders directly below."""
+        """Names of the entries directly below, in order.
+
+        The listing crosses to Python as one string: a call per entry would cost
+        more than the listing itself once there are thousands.
+        """
         path = self._path(self.at(*parts))
         if not self._fs.exists(path):
             return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(path) if s.isDirectory())
+        found = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(self._fs.listStatus(path))
+        listing = self._jvm.scala.runtime.ScalaRunTime.stringOf(found)
+        return sorted(re.findall(rf"/{re.escape(path.getName())}/([^/,)]+)", listing))
 
     def is_done(self, *parts: str) -> bool:
         """Whether a Spark write into the folder has been committed.
