@@ -189,7 +189,8 @@ def test_merge_every_must_be_positive(feed, lake, log, spark):
 def test_windows_close_behind_the_watermark(spark, tmp_path):
     minute = 60_000
     events = spark.createDataFrame(
-        [(t * minute, "INSERT") for t in (0, 1, 4, 5, 11, 30)], "source_ts_ms bigint, op_type string"
+        [(t * minute, "INSERT") for t in (0, 1, 4, 5, 11, 30)],
+        "source_ts_ms bigint, op_type string",
     )
     batch = changes_per_window(events)
     counted = {r.window_start.minute: r.event_count for r in batch.collect()}

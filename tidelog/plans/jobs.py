@@ -129,7 +129,12 @@ def verify(lake: Lake) -> dict[str, int]:
 
 
 def stream(
-    change_log: DataFrame, lake: Lake, settings: Settings, *, available_now: bool = False, **options
+    change_log: DataFrame,
+    lake: Lake,
+    settings: Settings,
+    *,
+    available_now: bool = False,
+    **options,
 ) -> StreamingQuery:
     """Start the continuous three-layer query."""
     if not settings.checkpoint:
@@ -145,7 +150,9 @@ def stream(
 
 
 def stream_bronze(
-    sources: Iterable[tuple[DataFrame, Lake]], checkpoint_root: str, trigger_seconds: int | None = 30
+    sources: Iterable[tuple[DataFrame, Lake]],
+    checkpoint_root: str,
+    trigger_seconds: int | None = 30,
 ) -> list[StreamingQuery]:
     """One Bronze-only query per topic, each with its own checkpoint."""
     queries: list[StreamingQuery] = []

@@ -268,32 +268,54 @@ class Lake:
                 continue
             folder = self.folders.at(table, self._folder(table, version))
             if table == SILVER:
-                columns, live = schemas.silver(self.spec).names, " WHERE op_type <> 'DELETE'"
+                columns, live = schemas.silver(self.spec).names, "op_type <> 'DELETE'"
             else:
-                columns, live = self._schema(table).names, ""
-            picked = ", ".join(f"`{c}`" for c in columns)
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW {self.prefix}{sql_name} AS "
-                f"SELECT {picked} FROM parquet.`{folder}`{live}"
-            )
+                columns, live = self._schema(table).names, "true"
+            self._view(sql_name, columns, f"parquet.`{folder}`", live)
             names.append(f"{self.prefix}{sql_name}")
         return names
 
     def _register_bronze(self) -> str:
-        name = f"{self.prefix}{self.spec.bronze_table}"
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        """View over a table with one partition per committed piece of the history.
+
+        Each state of the history gets its own table, and the view moves to it at
+        once, so a query never sees a half-registered history.
+        """
+        stem = f"{self.spec.name}_{self._tag}_bronze"
+        table = f"{stem}_{self.last_batch()}_{self._compacted_through() + 1}"
+        columns = schemas.bronze(self.spec)
+        self._database("tidelog_state")
+        known = self._state_tables(f"{stem}_*")
+        if table not in known:
+            where = self.folders.at("bronze")
+            self.spark.sql(
+                f"CREATE TABLE tidelog_state.{table} ({_ddl(columns)}, _batch BIGINT) "
+                f"USING parquet PARTITIONED BY (_batch) LOCATION '{where}'"
+            )
+            units = sorted(self._units().items())
+            for start in range(0, len(units), _PARTITIONS_PER_STATEMENT):
+                clauses = " ".join(
+                    f"PARTITION (_batch={number}) LOCATION '{path}'"
+                    for number, path in units[start : start + _PARTITIONS_PER_STATEMENT]
+                )
+                self.spark.sql(f"ALTER TABLE tidelog_state.{table} ADD {clauses}")
+        self._view(self.spec.bronze_table, columns.names, f"tidelog_state.{table}")
+        for old in known:
+            if old != table:
+                self.spark.sql(f"DROP TABLE IF EXISTS tidelog_state.{old}")
+        return f"{self.prefix}{self.spec.bronze_table}"
+
+    def _view(self, name: str, columns: list[str], source: str, where: str = "true") -> None:
+        picked = ", ".join(f"`{c}`" for c in columns)
         self.spark.sql(
-            f"CREATE TABLE {name} ({_ddl(schemas.bronze(self.spec))}, _batch BIGINT) "
-            f"USING parquet PARTITIONED BY (_batch) LOCATION '{self.folders.at('bronze')}'"
+            f"CREATE OR REPLACE VIEW {self.prefix}{name} AS "
+            f"SELECT {picked} FROM {source} WHERE {where}"
         )
-        units = sorted(self._units().items())
-        for start in range(0, len(units), _PARTITIONS_PER_STATEMENT):
-            clauses = " ".join(
-                f"PARTITION (_batch={number}) LOCATION '{path}'"
-                for number, path in units[start : start + _PARTITIONS_PER_STATEMENT]
-            )
-            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {clauses}")
-        return name
+
+    def _state_tables(self, pattern: str) -> list[str]:
+        found = self.spark.sql(f"SHOW TABLES IN tidelog_state LIKE '{pattern}'")
+        # A handful: one per registered state of this lake.
+        return [row["tableName"] for row in found.collect()]
 
     def _database(self, name: str) -> None:
         where = self.folders.at("catalog", name)
