@@ -20,6 +20,7 @@ ACCOUNTS = TableSpec(
     domain_of="email",
 )
 
+LOG_PARTITIONS = 3
 _SIX_HOURS_MS = 21_600_000
 
 
@@ -98,7 +99,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             user.cast("string").cast("binary").alias("key"),
             value.cast("binary").alias("value"),
             F.lit(ACCOUNTS.topic).alias("topic"),
-            (user % 3).cast("int").alias("partition"),
+            (user % LOG_PARTITIONS).cast("int").alias("partition"),
             n.alias("offset"),
             time.alias("timestamp"),
         )

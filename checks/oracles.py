@@ -105,10 +105,10 @@ SILVER = _with(_LOG, _SILVER, select=_SILVER_ROWS)
 DOMAIN = _with(_LOG, _SILVER, _DOMAINS, select="SELECT * FROM domains")
 DAILY = _with(_LOG, _DAILY, select="SELECT * FROM daily")
 
-# The reference merge over the history cut in two by the parity of the offset,
-# even offsets first: three ordered clauses over a full join.
+# The reference merge over the history in two batches, initial loads first:
+# three ordered clauses over a full join.
 _MERGED = """
-target AS (SELECT * FROM even WHERE op_type <> 'DELETE'),
+target AS (SELECT * FROM loads WHERE op_type <> 'DELETE'),
 merged AS (
   SELECT
     CASE WHEN t.id IS NULL AND s.op_type = 'DELETE' THEN 'drop'
@@ -118,7 +118,7 @@ merged AS (
          WHEN s.source_ts_ms >= coalesce(t.source_ts_ms, 0) THEN 'source'
          ELSE 'target' END AS pick,
     t AS t_row, s AS s_row
-  FROM target t FULL JOIN odd s ON t.id = s.id
+  FROM target t FULL JOIN changes s ON t.id = s.id
 ),
 picked AS (
   SELECT CASE WHEN pick = 'source' THEN s_row ELSE t_row END AS r
@@ -260,8 +260,8 @@ SELECT id, name, email FROM first_offer o
 WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = o.id)""".strip(),
     "merge_upsert_delete": _with(
         _LOG,
-        _latest("even", "kafka_offset % 2 = 0"),
-        _latest("odd", "kafka_offset % 2 = 1"),
+        _latest("loads", "op_type IN ('SNAPSHOT', 'INSERT')"),
+        _latest("changes", "op_type NOT IN ('SNAPSHOT', 'INSERT')"),
         _MERGED,
         select="""
 SELECT r.id AS id, r.name AS name, r.email AS email, r.email_domain AS email_domain,

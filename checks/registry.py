@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.change_log import ACCOUNTS, change_log, events_table
+from checks.change_log import ACCOUNTS, LOG_PARTITIONS, change_log, events_table
 from tidelog import schemas
 from tidelog.config import ORDER_COLUMNS
 from tidelog.operators import (
@@ -88,7 +88,7 @@ def _keyed_events(spark, sf_dir) -> DataFrame:
 
 def _timed_operations(spark, sf_dir) -> DataFrame:
     """The Bronze columns that the daily tally is built from."""
-    return _bronze(spark, sf_dir, "source_ts_ms", "op_type", "kafka_offset")
+    return _bronze(spark, sf_dir, "source_ts_ms", "op_type")
 
 
 def _silver(spark, sf_dir, method: str = "window") -> DataFrame:
@@ -130,15 +130,10 @@ def gold_daily_changes(spark, sf_dir):
 
 @query
 def gold_daily_incremental(spark, sf_dir):
-    """The history in two parts, tallied apart and added."""
-    bronze = _timed_operations(spark, sf_dir)
-    even = F.col("kafka_offset") % 2 == 0
-    return _no_clock(
-        add_tallies(
-            daily_changes(bronze.where(even)).drop("gold_built_at"),
-            daily_changes(bronze.where(~even)).drop("gold_built_at"),
-        )
-    )
+    """Every log partition tallied on its own, then added up."""
+    bronze = _bronze(spark, sf_dir, "source_ts_ms", "op_type", "kafka_partition")
+    parts = [bronze.where(F.col("kafka_partition") == p) for p in range(LOG_PARTITIONS)]
+    return _no_clock(add_tallies(*[daily_changes(p).drop("gold_built_at") for p in parts]))
 
 
 # -- Reports --------------------------------------------------------------------
@@ -247,28 +242,29 @@ def run_insert_if_absent(spark, sf_dir):
 # -- Merge ----------------------------------------------------------------------
 
 
+def _loads_and_changes(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The history in two batches: initial loads, then everything else."""
+    load = F.col("op_type").isin("SNAPSHOT", "INSERT")
+    return bronze.where(load), bronze.where(~load)
+
+
 @query
 def merge_upsert_delete(spark, sf_dir):
-    """The history in two batches, even offsets first, by the reference clauses."""
-    bronze = _keyed_events(spark, sf_dir)
-    even = F.col("kafka_offset") % 2 == 0
-    empty = spark.createDataFrame([], schemas.state(ACCOUNTS))
-    state = empty
-    for part in (even, ~even):
-        changes = latest_state(bronze.where(part), ACCOUNTS)
+    """Initial loads, then updates and deletes, by the reference clauses."""
+    state = spark.createDataFrame([], schemas.state(ACCOUNTS))
+    for batch in _loads_and_changes(_keyed_events(spark, sf_dir)):
+        changes = latest_state(batch, ACCOUNTS)
         state = apply_changes(state, changes, ACCOUNTS, mode="reference")
     return _no_clock(to_silver(state, ACCOUNTS))
 
 
 @query
 def merge_ordered(spark, sf_dir):
-    """The history in three batches out of order, one of them twice."""
-    bronze = _keyed_events(spark, sf_dir)
-    parts = [bronze.where(F.col("kafka_offset") % 3 == i) for i in (2, 0, 1, 2)]
-    state = latest_state(parts[0], ACCOUNTS)
-    for part in parts[1:]:
-        state = apply_changes(state, latest_state(part, ACCOUNTS), ACCOUNTS)
-    return _no_clock(to_silver(state, ACCOUNTS))
+    """Updates and deletes before the loads they follow, and once more after them."""
+    loads, changes = _loads_and_changes(_keyed_events(spark, sf_dir))
+    late, early = latest_state(loads, ACCOUNTS), latest_state(changes, ACCOUNTS)
+    state = apply_changes(early, late, ACCOUNTS)
+    return _no_clock(to_silver(apply_changes(state, early, ACCOUNTS), ACCOUNTS))
 
 
 # -- Written tables -------------------------------------------------------------
@@ -286,7 +282,7 @@ def _new_lake(spark) -> Lake:
 def _by_log_partition(spark, sf_dir) -> list[DataFrame]:
     """The change log as one part per log partition."""
     log = change_log(spark, sf_dir)
-    return [log.where(F.col("partition") == p) for p in range(3)]
+    return [log.where(F.col("partition") == p) for p in range(LOG_PARTITIONS)]
 
 
 @query

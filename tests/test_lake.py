@@ -211,6 +211,7 @@ def test_bucket_count_may_change(lake, log, spark):
     fill(wider, log, made[2:])
     advance_silver(wider)
     assert rows(to_silver(wider.read(SILVER), USERS)) == expected(log, made)[0]
+    assert Lake(spark, lake.root, USERS).buckets == 6
 
 
 def test_merge_shuffles_only_the_changes(lake, log):

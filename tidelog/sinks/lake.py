@@ -29,9 +29,10 @@ _PARTITIONS_PER_STATEMENT = 500
 class Lake:
     """Bronze, Silver and Gold of one captured table below one folder.
 
-    ``buckets`` is the number of key buckets of Silver.  Keep it the same over
-    the life of a lake, so that a merge shuffles only the changes; size it so
-    that one bucket of Silver fits a task comfortably (a few hundred MB).
+    ``buckets`` is the number of key buckets of Silver, by default that of the
+    newest version, and for a new lake the session's shuffle partitions.  Keep it
+    the same over the life of a lake, so that a merge shuffles only the changes;
+    size it so that one bucket of Silver fits a task (a few hundred MB).
     """
 
     def __init__(
@@ -46,9 +47,14 @@ class Lake:
         self.spark = spark
         self.spec = spec
         self.folders = Folders(spark, root)
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.prefix = prefix
         self._tag = hashlib.md5(self.folders.root.encode()).hexdigest()[:10]
+        stored = self.version(SILVER)
+        self.buckets = buckets or (
+            self._buckets_of(stored)
+            if stored >= 0
+            else int(spark.conf.get("spark.sql.shuffle.partitions"))
+        )
 
     @property
     def root(self) -> str:
