@@ -183,6 +183,24 @@ def test_compaction_keeps_content_and_later_batches(lake, log):
     assert lake.bronze().count() == sum(map(len, made))
 
 
+def test_number_reserved_but_never_written_is_not_lost_in_compaction(lake, log):
+    made = batches(log, 4)
+    fill(lake, log, made[:1])
+    assert lake.reserve("q-7") == 1  # and then the job dies
+    fill(lake, log, made[1:3])
+    advance_silver(lake)
+    advance_gold(lake)
+    assert compact_bronze(lake) == (0, 3)
+    drop_compacted(lake)
+    number = lake.reserve("q-7")
+    assert number == 4
+    events = parse_events(log.frame(made[3]), USERS)
+    assert lake.write_bronze(events, number) == len(made[3])
+    advance_silver(lake)
+    advance_gold(lake)
+    assert actual(lake) == expected(log, made)
+
+
 def test_old_versions_are_retired(lake, log):
     for batch in batches(log, 3):
         fill(lake, log, [batch])

@@ -20,7 +20,11 @@ def stored_bronze(spark, tmp_path_factory):
     return spark.read.schema(schemas.bronze(USERS)).parquet(path)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
+# Queries that write tables on the way; their parts are looked at elsewhere.
+WRITING = ("stream_", "bronze_append_", "silver_incremental", "compact_bronze")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(WRITING)))
 def test_no_pairing_of_whole_tables(spark, name):
     plan = physical(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan

@@ -128,6 +128,13 @@ class Lake:
         return first, sorted(n for n in found if first <= n <= through)
 
     def write_compacted(self, rows: DataFrame, first: int, last: int) -> None:
+        """Write batches ``first`` to ``last`` as one piece."""
+        # A number that was reserved but never written must not count as part of
+        # the piece: its owner has been overtaken and gets a new one.
+        for name in self.folders.names("batch_owners"):
+            number = int(name.partition("--")[0])
+            if first <= number <= last and not self._is_committed(number):
+                self.folders.drop("batch_owners", name)
         path = self.folders.at("bronze_compact", f"{first}-{last}")
         rows.write.mode("overwrite").parquet(path)
 
