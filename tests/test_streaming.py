@@ -125,13 +125,26 @@ def test_new_checkpoint_replays_without_touching_older_batches(feed, lake, log,
     feed.run(lake)
     feed.checkpoint = str(tmp_path / "another")
     feed.run(lake)
-    # A replay is new history for a sink without deduplication; nothing was overwritten.
+    # Without deduplication a replay is new history; nothing was overwritten.
     assert lake.batches() == [0, 1]
     assert lake.bronze().count() == 20
     silver = to_silver(latest_state(parse_events(log.frame(feed.records), USERS), USERS), USERS)
     assert rows(to_silver(lake.read(SILVER), USERS)) == rows(silver)
 
 
+@pytest.mark.parametrize("dedupe", ["exact", "offsets"])
+def test_replay_can_be_deduplicated(feed, lake, log, spark, tmp_path, dedupe):
+    feed.add(many(log, 10))
+    feed.run(lake, dedupe=dedupe)
+    feed.add(many(log, 10, 4))
+    feed.checkpoint = str(tmp_path / "another")
+    feed.run(lake, dedupe=dedupe, register=True)
+    feed.check(lake)
+    assert spark.table(lake.prefix + USERS.bronze_table).count() == 20
+    with pytest.raises(ValueError, match="dedupe"):
+        feed.run(lake, dedupe="maybe")
+
+
 def test_batch_without_events_stops_after_bronze(feed, lake, log):
     feed.add([log.record(None, 1, 0), log.record(None, 2, 0)])
     feed.run(lake)

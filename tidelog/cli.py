@@ -30,7 +30,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--buckets", type=int, help="key buckets of Silver")
     p.add_argument("--source-path", help="read the change log from files instead of Kafka")
     p.add_argument("--source-format", default="parquet")
-    p.add_argument("--dedupe", choices=jobs.DEDUPE, help="default: offsets on Kafka, else exact")
+    p.add_argument(
+        "--dedupe",
+        choices=jobs.DEDUPE,
+        help="default: none on streams; batch: offsets on Kafka, exact on files",
+    )
     p.add_argument("--merge-every", type=int, default=1)
     p.add_argument("--available-now", action="store_true", help="drain the stream and stop")
     p.add_argument("--show-config", action="store_true")
@@ -73,12 +77,19 @@ def _run(args, settings: Settings, spec, spark) -> int:
     if args.mode == "streaming":
         log = stream_change_log(spark, spec, **source)
         query = jobs.stream(
-            log, lake, settings, available_now=args.available_now, merge_every=args.merge_every
+            log,
+            lake,
+            settings,
+            available_now=args.available_now,
+            merge_every=args.merge_every,
+            dedupe=args.dedupe or "none",
+            register=True,
         )
         jobs.await_all([query])
         # A drained stream may end between two merges.
         if args.available_now:
             print(jobs.transform(lake))
+            lake.register()
     elif args.mode == "kafka" and args.consume_mode == "streaming":
         if not settings.checkpoint:
             raise SystemExit("set --checkpoint-dir or STREAMING_CHECKPOINT")
@@ -90,6 +101,7 @@ def _run(args, settings: Settings, spec, spark) -> int:
         print(jobs.verify(lake))
     elif args.mode == "transform":
         print(jobs.transform(lake, args.layer, args.full))
+        lake.register()
     elif args.mode == "all":
         print(jobs.run_all(batch_log, lake, dedupe))
     elif args.mode == "maintain":

@@ -10,29 +10,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.config import Settings
-from tidelog.operators import (
-    drop_older_than_marks,
-    drop_seen,
-    insert_if_absent,
-    parse_events,
-)
+from tidelog.operators import insert_if_absent, parse_events
 from tidelog.plans import reports
 from tidelog.plans.layers import (
+    DEDUPE,
     advance_gold,
-    advance_marks,
     advance_silver,
+    fresh_records,
     rebuild_gold,
     rebuild_silver,
 )
-from tidelog.sinks.lake import MARKS, Lake
+from tidelog.sinks.lake import Lake
 from tidelog.sinks.maintenance import compact_bronze, retire_versions
 from tidelog.sinks.tables import append_rows, create_if_absent
 from tidelog.streaming.layers import start_layers
 
 log = logging.getLogger(__name__)
 
+__all__ = [
+    "DEDUPE",
+    "LAYERS",
+    "JobFailed",
+    "await_all",
+    "ingest",
+    "maintain",
+    "run_all",
+    "run_stages",
+    "seed",
+    "stop",
+    "stream",
+    "stream_bronze",
+    "transform",
+    "verify",
+]
+
 LAYERS = ("silver", "gold", "all")
-DEDUPE = ("exact", "offsets", "none")
 
 
 class JobFailed(RuntimeError):
@@ -46,21 +58,10 @@ class JobFailed(RuntimeError):
 def ingest(change_log: DataFrame, lake: Lake, dedupe: str = "exact") -> int:
     """Append the records of a batch scan that Bronze does not hold yet.
 
-    ``exact`` compares log positions; ``offsets`` compares with the highest
-    stored offset per log partition and needs a source that delivers in offset
-    order; ``none`` appends everything.  Records are filtered before their JSON
-    is parsed.  An empty scan leaves the history as it is.
+    See :func:`tidelog.plans.layers.fresh_records` for ``dedupe``.  An empty scan
+    leaves the history as it is.
     """
-    if dedupe == "exact":
-        fresh = drop_seen(change_log, lake.bronze())
-    elif dedupe == "offsets":
-        advance_marks(lake)
-        fresh = drop_older_than_marks(change_log, lake.read(MARKS))
-    elif dedupe == "none":
-        fresh = change_log
-    else:
-        raise ValueError(f"dedupe must be one of {DEDUPE}, not {dedupe!r}")
-
+    fresh = fresh_records(change_log, lake, dedupe)
     number = lake.reserve(f"ingest-{uuid.uuid4().hex}")
     rows = lake.write_bronze(parse_events(fresh, lake.spec), number)
     log.info("bronze batch %d: %s rows", number, rows)

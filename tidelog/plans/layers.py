@@ -15,6 +15,8 @@ from tidelog.operators import (
     apply_changes,
     daily_changes,
     domain_counts,
+    drop_older_than_marks,
+    drop_seen,
     high_water_marks,
     latest_state,
     to_silver,
@@ -22,6 +24,26 @@ from tidelog.operators import (
 from tidelog.sinks.lake import DAILY, DOMAIN, MARKS, SILVER, Lake
 
 
+DEDUPE = ("exact", "offsets", "none")
+
+
+def fresh_records(change_log: DataFrame, lake: Lake, dedupe: str) -> DataFrame:
+    """Records of a batch scan or micro-batch that Bronze does not hold yet.
+
+    ``exact`` compares log positions; ``offsets`` compares with the highest
+    stored offset per log partition and needs a source that delivers in offset
+    order; ``none`` takes everything.  The filter comes before the JSON is parsed.
+    """
+    if dedupe == "exact":
+        return drop_seen(change_log, lake.bronze())
+    if dedupe == "offsets":
+        advance_marks(lake)
+        return drop_older_than_marks(change_log, lake.read(MARKS))
+    if dedupe == "none":
+        return change_log
+    raise ValueError(f"dedupe must be one of {DEDUPE}, not {dedupe!r}")
+
+
 def advance_silver(lake: Lake, mode: str = "ordered", image: str = "coalesce") -> int | None:
     """Merge the Bronze batches Silver does not cover yet.
 

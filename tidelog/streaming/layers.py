@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.config import TableSpec
 from tidelog.operators import daily_changes, domain_counts, parse_events
-from tidelog.plans.layers import advance_gold, advance_silver
+from tidelog.plans.layers import DEDUPE, advance_gold, advance_silver, fresh_records
 from tidelog.sinks import tables
 from tidelog.sinks.lake import Lake
 
@@ -29,7 +29,9 @@ def start_layers(
     trigger_seconds: int | None = 30,
     merge_every: int = 1,
     mode: str = "ordered",
+    dedupe: str = "none",
     bronze_only: bool = False,
+    register: bool = False,
 ) -> StreamingQuery:
     """Start the query; ``trigger_seconds=None`` drains what is there and stops.
 
@@ -38,18 +40,27 @@ def start_layers(
     not a re-parse of the source.  ``merge_every`` merges several batches at
     once when Silver is large.  A step that fails stops the query; after a
     restart the same batch is repeated and resumes where it broke off.
+
+    The checkpoint already keeps one query from reading a record twice.
+    ``dedupe`` (see :func:`tidelog.plans.layers.fresh_records`) also covers a
+    replay of the log with a new checkpoint.  ``register`` moves the SQL names to
+    the new tables after every merge.
     """
     if merge_every < 1:
         raise ValueError("merge_every must be at least 1")
+    if dedupe not in DEDUPE:
+        raise ValueError(f"dedupe must be one of {DEDUPE}, not {dedupe!r}")
 
     def micro_batch(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
         query_id = context.getLocalProperty(_QUERY_ID) or query_name or "stream"
         merge = not bronze_only and (batch_id + 1) % merge_every == 0
-        process_batch(batch, f"{query_id}-{batch_id}", lake, merge=merge, mode=mode)
+        owner = f"{query_id}-{batch_id}"
+        process_batch(batch, owner, lake, merge=merge, mode=mode, dedupe=dedupe)
+        if register and merge:
+            lake.register()
 
-    events = parse_events(change_log, lake.spec)
-    return _start(events, micro_batch, checkpoint, query_name, trigger_seconds)
+    return _start(change_log, micro_batch, checkpoint, query_name, trigger_seconds)
 
 
 def start_table_layers(
@@ -88,13 +99,13 @@ def start_table_layers(
 
 
 def _start(
-    events: DataFrame,
+    source: DataFrame,
     micro_batch: Callable[[DataFrame, int], None],
     checkpoint: str,
     query_name: str | None,
     trigger_seconds: int | None,
 ) -> StreamingQuery:
-    writer = events.writeStream.foreachBatch(micro_batch).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(micro_batch).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     if trigger_seconds is None:
@@ -103,10 +114,17 @@ def _start(
 
 
 def process_batch(
-    events: DataFrame, owner: str, lake: Lake, *, merge: bool = True, mode: str = "ordered"
+    change_log: DataFrame,
+    owner: str,
+    lake: Lake,
+    *,
+    merge: bool = True,
+    mode: str = "ordered",
+    dedupe: str = "none",
 ) -> None:
     """Bronze, then Silver, then Gold for one batch.  Safe to repeat."""
     number = lake.reserve(owner)
+    events = parse_events(fresh_records(change_log, lake, dedupe), lake.spec)
     rows = lake.write_bronze(events, number)
     log.info("batch %s: bronze batch %d, rows %s", owner, number, rows)
     # Counted while writing; None means a retry of a batch that Bronze has.
