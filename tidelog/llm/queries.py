@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, quality_rules
+from tidelog.llm import byte_bpe, pii, quality_rules, simhash
 from tidelog.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,11 @@ def rank_file(name: str = RANK_FILE) -> tuple[dict[bytes, int], str]:
     return byte_bpe.load_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN
 
 
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
@@ -88,3 +94,10 @@ FROM f
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), *rank_file())
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    written = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", written.alias("fingerprint"), "component_id")
