@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, pii, quality_rules, simhash
+from tidelog.llm import byte_bpe, decontaminate, pii, quality_rules, simhash, warc
 from tidelog.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +30,43 @@ def rank_file(name: str = RANK_FILE) -> tuple[dict[bytes, int], str]:
     return byte_bpe.load_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN
 
 
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = warc.round_trip(table(spark, sf_dir, "pages"))
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+
+
+ORACLES["op5_warc"] = r"""
+WITH p AS (
+  SELECT page_id, lower(coalesce(url, '')) AS u, coalesce(html, '') AS h FROM pages
+), d AS (
+  SELECT page_id, u, strlen(h)::BIGINT AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((
+      ('0x' || substr(sha1(h), 5 * (i // 4)::INTEGER + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)), '') AS payload_digest
+  FROM p
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to,
+  array_to_string(list_reverse(string_split(regexp_extract(u, '^[a-z][a-z0-9+.-]*://([^/:?#]*)', 1), '.')), ',') || ')' ||
+    regexp_extract(u, '^(?:[a-z][a-z0-9+.-]*://[^/?#]*)?(.*)$', 1) AS url_key,
+  strftime(make_timestamp((1577836800 + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured
+FROM f
+"""
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
