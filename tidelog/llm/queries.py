@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, decontaminate, pii, quality_rules, simhash, warc
+from tidelog.llm import byte_bpe, decontaminate, pii, pu_classifier, quality_rules, simhash, warc
 from tidelog.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,12 @@ FROM f
 """
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pu_classifier.score(docs, pu_classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), *rank_file())
