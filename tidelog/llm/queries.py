@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, decontaminate, pii, pu_classifier, quality_rules, simhash, warc
+from tidelog.llm import byte_bpe, decontaminate, licenses, pii, pu_classifier, quality_rules, simhash, warc
 from tidelog.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,65 @@ FROM f
 """
 
 
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie in folders by source and id: ``/source/id div 4096/id div 64/id``."""
+    docs = table(spark, sf_dir, "documents")
+    level = lambda n: F.floor(F.col("doc_id") / n).cast("string")
+    path = F.concat_ws("/", F.lit(""), "source", level(4096), level(64), F.col("doc_id").cast("string"))
+    found = licenses.scan(docs.select(path.alias("path"), "text"))
+    return found.withColumn("doc_id", F.regexp_extract("path", "([0-9]+)$", 1).cast("long"))
+
+
+def _license_oracle() -> str:
+    values = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))
+    return rf"""
+WITH tt AS (
+  SELECT k, lic, unnest(regexp_extract_all(txt, '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS term FROM (VALUES {values}) AS v(k, lic, txt)
+), idf AS (
+  SELECT term, ln((1 + {len(licenses.TEMPLATES)}) / (1 + count(DISTINCT k))) + 1 AS w FROM tt GROUP BY term
+), tv AS (
+  SELECT k, lic, term, count(*) * any_value(w) AS w FROM tt JOIN idf USING (term) GROUP BY k, lic, term
+), tn AS (
+  SELECT k, lic, term, w / sqrt(sum(w * w) OVER (PARTITION BY k)) AS w FROM tv
+), d AS (
+  SELECT doc_id, '/' || source || '/' || (doc_id // 4096) || '/' || (doc_id // 64) || '/' || doc_id AS path, coalesce(text, '') AS x FROM documents
+), h AS (
+  SELECT path, x, array_to_string(list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '(?i)licen[sc]e|spdx|copyright|rights reserved|creative commons|public domain|redistribution')), ' ') AS head FROM d
+), ht AS (
+  SELECT path, len(regexp_extract_all(head, '\S+')) >= 0.5 * len(regexp_extract_all(x, '\S+')) AS is_file,
+         unnest(regexp_extract_all(lower(head), '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS term FROM h WHERE head <> ''
+), hw AS (
+  SELECT path, is_file, ht.term, count(*) * coalesce(any_value(w), ln(1 + {len(licenses.TEMPLATES)}) + 1) AS w
+  FROM ht LEFT JOIN idf USING (term) GROUP BY path, is_file, ht.term
+), hn AS (
+  SELECT path, is_file, sqrt(sum(w * w)) AS n FROM hw GROUP BY path, is_file
+), sc AS (
+  SELECT hw.path, k, lic, round(sum(hw.w * tn.w) / any_value(n), 6) AS s, any_value(hn.is_file) AS is_file
+  FROM hw JOIN tn USING (term) JOIN hn USING (path) GROUP BY hw.path, k, lic
+), own AS (
+  SELECT path, lic, s, is_file FROM sc QUALIFY row_number() OVER (PARTITION BY path ORDER BY s DESC, k) = 1
+), o AS (
+  SELECT * FROM own WHERE s >= 0.5
+), held AS (
+  SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, lic FROM o WHERE is_file
+  QUALIFY row_number() OVER (PARTITION BY regexp_extract(path, '^(.*)/[^/]*$', 1) ORDER BY s DESC, path) = 1
+), near AS (
+  SELECT d.path, held.folder, held.lic
+  FROM d JOIN held ON starts_with(d.path, held.folder || '/')
+  QUALIFY row_number() OVER (PARTITION BY d.path ORDER BY length(held.folder) DESC) = 1
+)
+SELECT d.path, coalesce(o.lic, near.lic) AS licence, o.s AS similarity,
+  CASE WHEN o.lic IS NOT NULL AND o.is_file THEN 'file' WHEN o.lic IS NOT NULL THEN 'header'
+       WHEN near.lic IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+  CASE WHEN o.lic IS NULL THEN near.folder END AS inherited_from, d.doc_id
+FROM d LEFT JOIN o USING (path) LEFT JOIN near USING (path)
+"""
+
+
+ORACLES["op6_licenses"] = _license_oracle()
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
