@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, decontaminate, licenses, pii, pu_classifier, quality_rules, simhash, warc
+from tidelog.llm import byte_bpe, decontaminate, licenses, lm_score, pii, pu_classifier, quality_rules, simhash, warc
 from tidelog.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def rank_file(name: str = RANK_FILE) -> tuple[dict[bytes, int], str]:
     return byte_bpe.load_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN
 
 
+@query
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), *rank_file())
+
+
 @query
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
