@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, decontaminate, licenses, lm_score, pii, pu_classifier, quality_rules, simhash, warc
+from tidelog.llm import byte_bpe, decontaminate, licenses, lm_score, pii, pu_classifier, quality_rules, repeats, simhash, warc
 from tidelog.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,18 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"), *rank_file())
 
 
+@query
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
