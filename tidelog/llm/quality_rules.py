@@ -197,4 +197,6 @@ def keep_good(docs: DataFrame, policy: Policy = PROSE, text: str = "text") -> Da
     inside = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(inside.alias("_row"), F.col(f"`{text}`").alias("_text"))
     judged = ledger(rows, "_text", ("_row",))
+    # A filter isn't moved below a generator; moved below the ledger it would repeat every measurement.
+    judged = judged.select("_row", F.explode(F.array("failures")).alias("failures"))
     return judged.where(passes(policy)).select("_row.*")
