@@ -29,12 +29,8 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a small input to every core; a large one has enough splits already.
-
-    The rows are narrow here and JSON text later, so this is the cheap place.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """Deal the rows out evenly: they are narrow here and JSON text later, so this is the cheap place."""
+    return df.repartition(key)
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:

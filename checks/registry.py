@@ -19,8 +19,6 @@ from checks.change_log import ACCOUNTS, LOG_PARTITIONS, change_log, events_table
 from tidelog import schemas
 from tidelog.config import ORDER_COLUMNS
 from tidelog.operators import (
-    add_tallies,
-    apply_changes,
     daily_changes,
     domain_counts,
     insert_if_absent,
@@ -36,13 +34,19 @@ from tidelog.session import scratch_root
 from tidelog.sinks.files import Folders
 from tidelog.sinks.lake import DAILY, DOMAIN, SILVER, Lake
 from tidelog.sinks.maintenance import compact_bronze, drop_compacted
-from tidelog.streaming import changes_per_window, start_layers, start_window_counts
+from tidelog.streaming import (
+    changes_per_window,
+    process_batch,
+    start_layers,
+    start_window_counts,
+    window_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Micro-batches a staged change log is read in.
-_MICRO_BATCHES = 4
+# Intake of a micro-batch; a smaller log is cut into four.
+_INTAKE_BYTES = 256 << 20
 
 
 def query(fn: Query) -> Query:
@@ -130,10 +134,13 @@ def gold_daily_changes(spark, sf_dir):
 
 @query
 def gold_daily_incremental(spark, sf_dir):
-    """Every log partition tallied on its own, then added up."""
-    bronze = _bronze(spark, sf_dir, "source_ts_ms", "op_type", "kafka_partition")
-    parts = [bronze.where(F.col("kafka_partition") == p) for p in range(LOG_PARTITIONS)]
-    return _no_clock(add_tallies(*[daily_changes(p).drop("gold_built_at") for p in parts]))
+    """Every log partition ingested on its own and added to the stored tally."""
+    lake = _new_lake(spark)
+    for log in _by_log_partition(spark, sf_dir):
+        jobs.ingest(log, lake, dedupe="none")
+        advance_silver(lake)
+        advance_gold(lake)
+    return _no_clock(lake.read(DAILY))
 
 
 # -- Reports --------------------------------------------------------------------
@@ -248,23 +255,27 @@ def _loads_and_changes(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     return bronze.where(load), bronze.where(~load)
 
 
+def _merged_batches(spark, sf_dir, order: tuple[int, ...], mode: str) -> DataFrame:
+    """The two batches committed and merged one by one, in the given order."""
+    lake = _new_lake(spark)
+    batches = _loads_and_changes(parse_events(change_log(spark, sf_dir), ACCOUNTS))
+    for step, which in enumerate(order):
+        lake.write_bronze(batches[which], lake.reserve(f"merge-{step}"))
+        advance_silver(lake, mode=mode)
+    state = lake.read(SILVER)
+    return _no_clock(to_silver(state, ACCOUNTS))
+
+
 @query
 def merge_upsert_delete(spark, sf_dir):
     """Initial loads, then updates and deletes, by the reference clauses."""
-    state = spark.createDataFrame([], schemas.state(ACCOUNTS))
-    for batch in _loads_and_changes(_keyed_events(spark, sf_dir)):
-        changes = latest_state(batch, ACCOUNTS)
-        state = apply_changes(state, changes, ACCOUNTS, mode="reference")
-    return _no_clock(to_silver(state, ACCOUNTS))
+    return _merged_batches(spark, sf_dir, (0, 1), "reference")
 
 
 @query
 def merge_ordered(spark, sf_dir):
     """Updates and deletes before the loads they follow, and once more after them."""
-    loads, changes = _loads_and_changes(_keyed_events(spark, sf_dir))
-    late, early = latest_state(loads, ACCOUNTS), latest_state(changes, ACCOUNTS)
-    state = apply_changes(early, late, ACCOUNTS)
-    return _no_clock(to_silver(apply_changes(state, early, ACCOUNTS), ACCOUNTS))
+    return _merged_batches(spark, sf_dir, (1, 0, 1), "ordered")
 
 
 # -- Written tables -------------------------------------------------------------
@@ -304,6 +315,96 @@ def bronze_append_offsets(spark, sf_dir):
     return _no_clock(lake.bronze())
 
 
+@query
+def bronze_append_gaps(spark, sf_dir):
+    """Every third offset, then a range with copies of each record, then the whole log."""
+    lake = _new_lake(spark)
+    whole = change_log(spark, sf_dir)
+    upper = whole.where(F.col("offset") % 2 == 1)
+    for log in (whole.where(F.col("offset") % 3 == 0), upper.union(upper), whole):
+        jobs.ingest(log, lake, dedupe="exact")
+    return _no_clock(lake.bronze())
+
+
+@query
+def ingest_empty_scan(spark, sf_dir):
+    """Tables made by the first scan; an empty scan after it changes nothing."""
+    lake = _new_lake(spark)
+    log = change_log(spark, sf_dir)
+    for scan in (log, log.where("offset < 0")):
+        jobs.ingest(scan, lake, dedupe="exact")
+    return _no_clock(lake.bronze())
+
+
+@query
+def silver_two_writers(spark, sf_dir):
+    """The first writer commits after the second one has committed and merged."""
+    root = _scratch(spark)
+    first, second = (Lake(spark, root, ACCOUNTS) for _ in range(2))
+    early, late, rest = _by_log_partition(spark, sf_dir)
+    number = first.reserve("first-0")
+    jobs.ingest(late, second, dedupe="none")
+    jobs.transform(second)
+    first.write_bronze(parse_events(early, ACCOUNTS), number)
+    jobs.ingest(rest, second, dedupe="none")
+    for lake in (first, second):
+        jobs.transform(lake)
+    return _no_clock(to_silver(first.read(SILVER), ACCOUNTS))
+
+
+@query
+def run_run_all_layers(spark, sf_dir):
+    """The whole chain twice over the same log; rows of every layer."""
+    lake = _new_lake(spark)
+    for _ in range(2):
+        counts = jobs.run_all(lambda: change_log(spark, sf_dir), lake)["verify"]
+    return spark.createDataFrame(sorted(counts.items()), "layer string, rows bigint")
+
+
+@query
+def transform_full(spark, sf_dir):
+    """Incremental tables of a part, then everything rebuilt from the whole history."""
+    lake = _new_lake(spark)
+    for log, full in ((_by_log_partition(spark, sf_dir)[0], False), (change_log(spark, sf_dir), True)):
+        jobs.ingest(log, lake)
+        jobs.transform(lake, full=full)
+    return _no_clock(to_silver(lake.read(SILVER), ACCOUNTS))
+
+
+def _report(spark, sf_dir, section: str, title: str) -> DataFrame:
+    """One report of the runner, on registered tables."""
+    lake = _new_lake(spark)
+    jobs.ingest(change_log(spark, sf_dir), lake, dedupe="none")
+    jobs.transform(lake)
+    lake.register()
+    return reports.run(spark, ACCOUNTS, section, lake.prefix)[title]
+
+
+@query
+def report_section_bronze(spark, sf_dir):
+    return _report(spark, sf_dir, "bronze", "operation mix")
+
+
+@query
+def report_section_silver(spark, sf_dir):
+    return _report(spark, sf_dir, "silver", "data quality")
+
+
+@query
+def report_section_gold(spark, sf_dir):
+    return _report(spark, sf_dir, "gold", "top 20 domains")
+
+
+@query
+def seed_table_twice(spark, sf_dir):
+    """The same rows seeded twice, the second time without the catalog's entry."""
+    table, where = f"default.seeded_{uuid.uuid4().hex}", _scratch(spark)
+    for _ in range(2):
+        jobs.seed(spark, _seed(spark, sf_dir), table, ["id"], where)
+        spark.sql(f"DROP TABLE {table}")
+    return spark.read.parquet(where)
+
+
 @query
 def silver_incremental(spark, sf_dir):
     """Three ingests, each merged into the stored Silver."""
@@ -330,26 +431,46 @@ def run_compact_bronze(spark, sf_dir):
 # -- Streaming ------------------------------------------------------------------
 
 
-def _staged_stream(spark, sf_dir, folder: str) -> DataFrame:
-    """The change log written as files and read back as a stream of micro-batches."""
-    rows = events_table(spark, sf_dir).count()
-    writer = change_log(spark, sf_dir).write.option("maxRecordsPerFile", max(1, -(-rows // 16)))
-    writer.parquet(f"{folder}/log")
-    intake = -(-Folders(spark, folder).size("log") // _MICRO_BATCHES)
+def _stage(log: DataFrame, folder: str) -> int:
+    """The log as files of bounded size; returns the bytes of a micro-batch.
+
+    Micro-batches are of a fixed size, so a longer log has more of them.
+    """
+    log.write.option("maxRecordsPerFile", 25_000).mode("append").parquet(f"{folder}/log")
+    size = Folders(log.sparkSession, folder).size("log")
+    return min(_INTAKE_BYTES, -(-size // 4))
+
+
+def _run_stream(spark, folder: str, lake: Lake, intake: int, **options) -> None:
     reader = spark.readStream.schema(schemas.CHANGE_LOG).option("maxBytesPerTrigger", intake)
-    return reader.parquet(f"{folder}/log")
+    query = start_layers(
+        reader.parquet(f"{folder}/log"), lake, f"{folder}/checkpoint", trigger_seconds=None, **options
+    )
+    query.awaitTermination()
 
 
 def _streamed(spark, sf_dir, **options) -> Lake:
     folder = _scratch(spark)
     lake = Lake(spark, f"{folder}/lake", ACCOUNTS)
-    stream = _staged_stream(spark, sf_dir, folder)
-    start_layers(
-        stream, lake, f"{folder}/checkpoint", trigger_seconds=None, **options
-    ).awaitTermination()
+    intake = _stage(change_log(spark, sf_dir), folder)
+    _run_stream(spark, folder, lake, intake, **options)
     return lake
 
 
+@query
+def stream_restart(spark, sf_dir):
+    """A batch that broke off after Bronze, a stop, and a restart on a longer log."""
+    folder = _scratch(spark)
+    lake = Lake(spark, f"{folder}/lake", ACCOUNTS)
+    broken, *parts = _by_log_partition(spark, sf_dir)
+    process_batch(broken, "broken-0", lake, merge=False)
+    for part in parts:
+        intake = _stage(part, folder)
+        _run_stream(spark, folder, lake, intake)
+    process_batch(broken, "broken-0", lake)
+    return _no_clock(to_silver(lake.read(SILVER), ACCOUNTS))
+
+
 @query
 def stream_bronze(spark, sf_dir):
     return _no_clock(_streamed(spark, sf_dir, bronze_only=True).bronze())
@@ -383,14 +504,19 @@ def window_changes_5m(spark, sf_dir):
 
 @query
 def stream_window_changes_5m(spark, sf_dir):
-    """Windows closed by the watermark once the whole table has been read."""
+    """The events as files in the order of their time, a few in each micro-batch."""
     folder = _scratch(spark)
-    schema = events_table(spark, sf_dir).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    events = _window_events(events_table(spark, sf_dir))
+    events.repartitionByRange(8, "source_ts").write.parquet(f"{folder}/events")
+    files = Folders(spark, folder)
+    parts = [name for name in files.names("events") if name.startswith("part-")]
+    for k, name in enumerate(parts):  # a file stream reads the oldest file first
+        files.set_time(1_600_000_000_000 + 1000 * k, "events", name)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2)
     start_window_counts(
-        _window_events(reader.parquet(sf_dir)),
+        reader.parquet(f"{folder}/events"),
         f"{folder}/windows",
         f"{folder}/checkpoint",
         trigger_seconds=None,
     ).awaitTermination()
-    return spark.read.parquet(f"{folder}/windows")
+    return window_counts(spark, f"{folder}/windows")

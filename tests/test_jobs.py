@@ -8,6 +8,7 @@ from tidelog.plans import jobs, reports
 from tidelog.sinks import append_rows, bootstrap, create_if_absent, replace_table
 from tidelog.sinks.tables import merge_into
 from tidelog.sources import discover, has_table, read_change_log, read_jdbc
+from tidelog.sources.change_log import starting_offsets
 
 DAY = 86_400_000
 
@@ -182,6 +183,22 @@ def test_seed(spark):
     spark.sql("DROP TABLE default.seeded_users")
 
 
+def test_seed_again_without_the_catalog_entry(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "A", "a@x.com"), (2, "B", "b@x.com")], "id int, name string, email string")
+    for _ in range(2):
+        jobs.seed(spark, rows, "default.seeded_again", ["id"], str(tmp_path / "seeded"))
+        spark.sql("DROP TABLE default.seeded_again")  # what a new session knows of it
+    assert spark.read.parquet(str(tmp_path / "seeded")).count() == 2
+
+
+def test_starting_offsets_follow_the_marks(spark):
+    marks = spark.createDataFrame(
+        [("t", 1, 9), ("t", 0, 4), ("other", 0, 7)], "kafka_topic string, kafka_partition int, kafka_offset bigint"
+    )
+    assert starting_offsets(marks, "t") == '{"t": {"0": 5, "1": 10}}'
+    assert starting_offsets(marks, "none") is None
+
+
 def test_jdbc_needs_an_address(spark):
     with pytest.raises(ValueError, match="JDBC"):
         read_jdbc(spark, "SELECT 1", Settings())

@@ -10,6 +10,7 @@ from tidelog.plans.layers import (
     rebuild_silver,
 )
 from tidelog.sinks import Lake
+from tidelog.sinks import lake as lake_module
 from tidelog.sinks.lake import DAILY, DOMAIN, SILVER
 from tidelog.sinks.maintenance import (
     compact_bronze,
@@ -268,3 +269,47 @@ def test_sql_names(lake, log, spark):
     assert compact_bronze(lake) == (0, 2)
     lake.register()
     assert spark.table(names[0]).count() == 48
+
+
+@pytest.mark.parametrize("root", ["bronze/users", "silver", "gold/bronze", "a,b)c", "plain"])
+def test_a_root_may_have_any_name(spark, log, tmp_path, root):
+    lake = Lake(spark, str(tmp_path / root), USERS, buckets=2)
+    for k in range(2):
+        jobs.ingest(log.frame([log.record("c", k, k)]), lake)
+        jobs.transform(lake)
+    assert lake.batches() == [0, 1]
+    assert lake.read(SILVER).count() == 2
+    assert Lake(spark, str(tmp_path / root), USERS).last_batch() == 1
+
+
+def test_overlapping_writers_lose_nothing(spark, log, tmp_path):
+    first, second = (Lake(spark, str(tmp_path / "lake"), USERS, buckets=2) for _ in range(2))
+    number = first.reserve("first-0")
+    jobs.ingest(log.frame([log.record("c", 1, 1)]), second)
+    jobs.transform(second)
+    assert second.version(SILVER) > number
+    events = parse_events(log.frame([log.record("c", 2, 2)]), USERS)
+    assert first.write_bronze(events, number) == 1
+    # The retry of the overtaken batch finds it under its new number.
+    assert first.write_bronze(events, first.reserve("first-0")) is None
+    jobs.transform(first)
+    assert sorted(r.id for r in second.read(SILVER).collect()) == [1, 2]
+    assert second.read("gold_daily").agg({"event_count": "sum"}).first()[0] == 2
+
+
+def test_a_batch_overtaken_while_it_is_written_moves_on(spark, log, tmp_path, monkeypatch):
+    first, second = (Lake(spark, str(tmp_path / "lake"), USERS, buckets=2) for _ in range(2))
+    number = first.reserve("first-0")
+    events = parse_events(log.frame([log.record("c", 2, 2)]), USERS)
+    write = lake_module._counted
+
+    def slow(rows, save):
+        monkeypatch.setattr(lake_module, "_counted", write)
+        jobs.ingest(log.frame([log.record("c", 1, 1)]), second)
+        jobs.transform(second)
+        return write(rows, save)
+
+    monkeypatch.setattr(lake_module, "_counted", slow)
+    first.write_bronze(events, number)
+    jobs.transform(first)
+    assert sorted(r.id for r in first.read(SILVER).collect()) == [1, 2]

@@ -4,7 +4,7 @@ import pytest
 
 from checks.registry import QUERIES, events_table
 from tidelog import USERS, schemas
-from tidelog.operators import daily_changes, drop_older_than_marks, latest_state
+from tidelog.operators import daily_changes, drop_older_than_marks, drop_seen, latest_state
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -21,7 +21,10 @@ def stored_bronze(spark, tmp_path_factory):
 
 
 # Queries that write tables on the way; their parts are looked at elsewhere.
-WRITING = ("stream_", "bronze_append_", "silver_incremental", "compact_bronze")
+WRITING = (
+    "stream_", "bronze_append_", "silver_incremental", "compact_bronze", "gold_daily_incremental", "merge_",
+    "silver_two_writers", "run_all_layers", "transform_full", "report_section_", "ingest_", "seed_table",
+)
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(WRITING)))
@@ -59,3 +62,14 @@ def test_marks_filter_does_not_shuffle_the_log(spark, tmp_path):
     plan = physical(drop_older_than_marks(log, stored))
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("name", ["silver_latest", "gold_daily_changes", "gold_email_domain"])
+def test_the_text_is_parsed_once(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_exact_ingest_reads_history_from_the_logs_lowest_offset(spark, stored_bronze):
+    log = spark.createDataFrame([("t", 0, 70)], "topic string, partition int, offset bigint")
+    assert "GreaterThanOrEqual(kafka_offset,70)" in physical(drop_seen(log, stored_bronze))

@@ -8,7 +8,14 @@ from tidelog.operators import daily_changes, latest_state, parse_events, to_silv
 from tidelog.plans import jobs
 from tidelog.sinks.lake import DAILY, DOMAIN, SILVER
 from tidelog.sources import stream_change_log
-from tidelog.streaming import ProgressLog, changes_per_window, start_layers, start_window_counts
+from tidelog.streaming import (
+    ProgressLog,
+    changes_per_window,
+    process_batch,
+    start_layers,
+    start_window_counts,
+    window_counts,
+)
 from tidelog.streaming import layers as stream_steps
 
 CLOCKS = ("silver_built_at", "bronze_ingested_at", "gold_built_at", "_ingestion_ts")
@@ -199,23 +206,43 @@ def test_merge_every_must_be_positive(feed, lake, log, spark):
         start_layers(None, lake, "x", merge_every=0)
 
 
-def test_windows_close_behind_the_watermark(spark, tmp_path):
+def test_stream_windows_are_complete_and_count_late_rows(spark, tmp_path):
     minute = 60_000
-    events = spark.createDataFrame(
-        [(t * minute, "INSERT") for t in (0, 1, 4, 5, 11, 30)],
-        "source_ts_ms bigint, op_type string",
-    )
-    batch = changes_per_window(events)
-    counted = {r.window_start.minute: r.event_count for r in batch.collect()}
-    assert counted == {0: 3, 5: 1, 10: 1, 30: 1}
-
+    batches = [(0, 1, 4, 5), (11, 30), (29, 3)]  # 29 is late but within the watermark, 3 is beyond it
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    events.coalesce(1).write.parquet(source)
-    stream = spark.readStream.schema(events.schema).parquet(source)
-    start_window_counts(stream, out, str(tmp_path / "cp"), trigger_seconds=None).awaitTermination()
-    closed = spark.read.parquet(out)
-    # The newest event is at minute 30, so windows ending by minute 20 are final.
-    assert sorted(r.window_start.minute for r in closed.collect()) == [0, 5, 10]
+    schema = "source_ts_ms bigint, op_type string"
+    for times in batches:
+        rows = spark.createDataFrame([(t * minute, "INSERT") for t in times], schema)
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        start_window_counts(stream, out, str(tmp_path / "cp"), trigger_seconds=None).awaitTermination()
+    counted = {r.window_start.minute: r.event_count for r in window_counts(spark, out).collect()}
+    assert counted == {0: 3, 5: 1, 10: 1, 25: 1, 30: 1}
+
+
+def test_a_due_merge_comes_even_if_its_batch_is_empty(feed, lake, log):
+    process_batch(log.frame([log.record("c", 1, 1)]), "q-0", lake, merge=False)
+    assert lake.version("silver") == -1
+    process_batch(log.frame([log.record(None, 1, 2)]), "q-1", lake, merge=True)
+    assert lake.version("silver") == lake.last_batch() == lake.version("gold_daily")
+    assert lake.read("silver").count() == 1
+
+
+def test_progress_rows_reach_their_table(feed, lake, log, spark, tmp_path):
+    progress = ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(progress)
+    try:
+        feed.add(many(log, 10))
+        feed.run(lake, query_name="written")
+        for _ in range(100):
+            if (tmp_path / "progress" / "_SUCCESS").exists():
+                break
+            time.sleep(0.1)
+        rows = spark.read.parquet(str(tmp_path / "progress")).where("input_rows > 0")
+        assert [r.query_name for r in rows.collect()] == ["written"]
+        assert progress.rows() == []
+    finally:
+        spark.streams.removeListener(progress)
 
 
 def test_file_stream_needs_the_six_columns(spark, tmp_path):

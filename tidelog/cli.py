@@ -10,11 +10,13 @@ from dataclasses import replace
 from tidelog.config import Settings, spec_for
 from tidelog.plans import jobs, reports
 from tidelog.session import build_session
-from tidelog.sinks.lake import Lake
-from tidelog.sources import read_change_log, stream_change_log
+from tidelog.plans.layers import advance_marks
+from tidelog.sinks.lake import MARKS, Lake
+from tidelog.sources import read_change_log, read_jdbc, stream_change_log
+from tidelog.sources.change_log import starting_offsets
 
 # "trino" is kept as another name of "reports" for existing scripts.
-MODES = ("kafka", "transform", "reports", "trino", "all", "streaming", "maintain")
+MODES = ("kafka", "transform", "reports", "trino", "all", "streaming", "maintain", "seed")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -35,6 +37,9 @@ def parser() -> argparse.ArgumentParser:
         choices=jobs.DEDUPE,
         help="default: none on streams; batch: offsets on Kafka, exact on files",
     )
+    p.add_argument("--seed-table", help="table that --mode seed fills")
+    p.add_argument("--seed-key", help="its key columns, comma-separated")
+    p.add_argument("--seed-query", help="query that runs at TIDELOG_JDBC_URL (or --source-path: files)")
     p.add_argument("--merge-every", type=int, default=1)
     p.add_argument("--available-now", action="store_true", help="drain the stream and stop")
     p.add_argument("--show-config", action="store_true")
@@ -72,7 +77,11 @@ def _run(args, settings: Settings, spec, spark) -> int:
     dedupe = args.dedupe or ("exact" if args.source_path else "offsets")
 
     def batch_log():
-        return read_change_log(spark, spec, **source)
+        starting = None
+        if dedupe == "offsets" and not args.source_path:
+            advance_marks(lake)
+            starting = starting_offsets(lake.read(MARKS), spec.topic)
+        return read_change_log(spark, spec, starting=starting, **source)
 
     if args.mode == "streaming":
         log = stream_change_log(spark, spec, **source)
@@ -86,10 +95,6 @@ def _run(args, settings: Settings, spec, spark) -> int:
             register=True,
         )
         jobs.await_all([query])
-        # A drained stream may end between two merges.
-        if args.available_now:
-            print(jobs.transform(lake))
-            lake.register()
     elif args.mode == "kafka" and args.consume_mode == "streaming":
         if not settings.checkpoint:
             raise SystemExit("set --checkpoint-dir or STREAMING_CHECKPOINT")
@@ -104,6 +109,16 @@ def _run(args, settings: Settings, spec, spark) -> int:
         lake.register()
     elif args.mode == "all":
         print(jobs.run_all(batch_log, lake, dedupe))
+    elif args.mode == "seed":
+        if not args.seed_table or not args.seed_key:
+            raise SystemExit("seed needs --seed-table and --seed-key")
+        if args.source_path:
+            rows = spark.read.format(args.source_format).load(args.source_path)
+        elif args.seed_query:
+            rows = read_jdbc(spark, args.seed_query, settings)
+        else:
+            raise SystemExit("seed needs --seed-query or --source-path")
+        jobs.seed(spark, rows, args.seed_table, args.seed_key.split(","))
     elif args.mode == "maintain":
         print(jobs.maintain(lake))
     else:

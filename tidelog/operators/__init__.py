@@ -1,4 +1,9 @@
-from tidelog.operators.append import drop_seen, drop_older_than_marks, high_water_marks
+from tidelog.operators.append import (
+    drop_older_than_marks,
+    drop_seen,
+    drop_seen_events,
+    high_water_marks,
+)
 from tidelog.operators.envelope import parse_events
 from tidelog.operators.gold import add_tallies, daily_changes, domain_counts
 from tidelog.operators.latest import latest_state, to_silver
@@ -12,6 +17,7 @@ __all__ = [
     "domain_counts",
     "drop_older_than_marks",
     "drop_seen",
+    "drop_seen_events",
     "high_water_marks",
     "insert_if_absent",
     "latest_state",

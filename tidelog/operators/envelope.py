@@ -41,7 +41,13 @@ def parse_events(
     needed = _closure(wanted, spec)
     parsed = {name: path for name, path in paths.items() if name in needed}
     schema = _narrowed(schemas.envelope(spec), parsed.values())
-    flat = raw.withColumn("event", F.from_json("json_value", schema)).select(
+    # A generator is the one operator that filters are not moved below: without it a filter
+    # on a parsed field would parse the text again, and below any exchange.
+    events = raw.select(
+        *[c for c in raw.columns if c != "json_value"],
+        F.explode(F.array(F.from_json("json_value", schema))).alias("event"),
+    )
+    flat = events.select(
         *[c for c in raw.columns if c != "json_value"],
         *[F.col("event." + ".".join(path)).alias(name) for name, path in parsed.items()],
     )

@@ -21,9 +21,10 @@ from tidelog.plans.layers import (
     rebuild_silver,
 )
 from tidelog.sinks.lake import Lake
-from tidelog.sinks.maintenance import compact_bronze, retire_versions
+from tidelog.sinks.maintenance import compact_bronze, drop_compacted, retire_versions
 from tidelog.sinks.tables import append_rows, create_if_absent
 from tidelog.streaming.layers import start_layers
+from tidelog.streaming.progress import watch_progress
 
 log = logging.getLogger(__name__)
 
@@ -32,6 +33,7 @@ __all__ = [
     "LAYERS",
     "JobFailed",
     "await_all",
+    "drain",
     "ingest",
     "maintain",
     "run_all",
@@ -98,12 +100,22 @@ def run_stages(stages: dict[str, Callable[[], object]]) -> dict[str, object]:
     return results
 
 
-def seed(spark: SparkSession, rows: DataFrame, table: str, key: Sequence[str]) -> None:
+def seed(
+    spark: SparkSession,
+    rows: DataFrame,
+    table: str,
+    key: Sequence[str],
+    location: str | None = None,
+) -> None:
     """Insert rows whose key the table does not hold; create the table if absent.
 
-    Running it again inserts nothing.
+    Running it again inserts nothing, in this session or another.  ``location`` is the
+    table's folder, by default one below the warehouse.
     """
-    create_if_absent(spark, table, rows.schema)
+    if location is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        location = f"{warehouse}/seeded/{table.replace('.', '/')}"
+    create_if_absent(spark, table, rows.schema, location=location)
     append_rows(insert_if_absent(spark.table(table), rows, key), table)
 
 
@@ -135,11 +147,17 @@ def stream(
     settings: Settings,
     *,
     available_now: bool = False,
+    progress: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """Start the continuous three-layer query."""
+    """Start the continuous three-layer query.
+
+    Its progress is logged and written as rows to the folder ``progress``, by default
+    ``stream_progress`` below the lake.
+    """
     if not settings.checkpoint:
         raise ValueError("STREAMING_CHECKPOINT is not set")
+    watch_progress(lake.spark, progress or lake.folders.at("stream_progress"))
     return start_layers(
         change_log,
         lake,
@@ -196,10 +214,23 @@ def stop(queries: Iterable[StreamingQuery]) -> None:
         query.stop()
 
 
-def maintain(lake: Lake, keep: int = 100) -> dict[str, object]:
-    """Compact Bronze, retire old versions, forget old batch reservations."""
+def drain(
+    change_log: DataFrame, lake: Lake, settings: Settings, *, progress: str | None = None, **options
+) -> None:
+    """Run the stream over what is there, to the end; every layer covers all of it afterwards."""
+    query = stream(change_log, lake, settings, available_now=True, progress=progress, **options)
+    await_all([query])
+    transform(lake)
+
+
+def maintain(lake: Lake, keep: int = 5) -> dict[str, object]:
+    """Drop the batches that an earlier run compacted, compact Bronze, retire old versions and reservations.
+
+    Readers of a compacted batch have until the next run to finish.
+    """
     return run_stages(
         {
+            "replaced": lambda: drop_compacted(lake),
             "compact": lambda: compact_bronze(lake),
             "retire": lambda: retire_versions(lake, keep),
             "owners": lake.forget_owners,

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import SparkSession
 
 _DONE = "_SUCCESS"
+# A normalised path never holds three slashes in a row.
+_BETWEEN = "///"
 
 
 class Folders:
@@ -38,8 +38,19 @@ class Folders:
         if not self._fs.exists(path):
             return []
         found = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(self._fs.listStatus(path))
-        listing = self._jvm.scala.runtime.ScalaRunTime.stringOf(found)
-        return sorted(re.findall(rf"/{re.escape(path.getName())}/([^/,)]+)", listing))
+        listing = self._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(found).mkString(_BETWEEN)
+        return sorted(p.rpartition("/")[2] for p in listing.split(_BETWEEN) if p)
+
+    def move(self, source: tuple[str, ...], target: tuple[str, ...]) -> None:
+        """Rename one folder; fails if the target is there."""
+        if self._fs.exists(self._path(self.at(*target))) or not self._fs.rename(
+            self._path(self.at(*source)), self._path(self.at(*target))
+        ):
+            raise OSError(f"cannot move {source} to {target}")
+        self._done.discard(self.at(*source))
+
+    def set_time(self, millis: int, *parts: str) -> None:
+        self._fs.setTimes(self._path(self.at(*parts)), millis, -1)
 
     def is_done(self, *parts: str) -> bool:
         """Whether a Spark write into the folder has been committed.

@@ -4,7 +4,8 @@ Bronze grows by one folder per committed batch.  Silver and Gold are versions,
 each numbered by the last Bronze batch it covers and computed only from an older
 version plus the batches after it.  A folder counts once Spark has committed the
 write into it, so a step that dies halfway is invisible and a repeated step
-either finds its result or writes the same one again.  One writer at a time.
+either finds its result or writes the same one again.  A batch that another writer
+has overtaken is numbered anew, so no derived table leaves it out.
 """
 
 from __future__ import annotations
@@ -100,8 +101,27 @@ class Lake:
         """Append one batch; returns its rows, or None if it was there already."""
         if self._is_committed(number):
             return None
+        number = self._ahead(number)
         path = self.folders.at("bronze", f"batch={number}")
-        return _counted(events, lambda df: df.write.mode("overwrite").parquet(path))
+        rows = _counted(events, lambda df: df.write.mode("overwrite").parquet(path))
+        later = self._ahead(number)
+        if later != number:
+            self.folders.move(("bronze", f"batch={number}"), ("bronze", f"batch={later}"))
+        return rows
+
+    def _ahead(self, number: int) -> int:
+        """``number``, or a new one if a derived table has passed it meanwhile.
+
+        Another writer may commit and merge a later batch first.  What is derived from the
+        history covers numbers up to its version, so this batch must come after them.
+        """
+        if number > max(self.version(table) for table in VERSIONED):
+            return number
+        names = [name.partition("--") for name in self.folders.names("batch_owners")]
+        owner = next((who for n, _, who in names if int(n) == number), "late")
+        later = max(self.last_batch(), *(int(n) for n, _, _ in names)) + 1
+        self.folders.make("batch_owners", f"{later:012d}--{owner}")
+        return later
 
     def bronze(self, after: int = -1, through: int | None = None) -> DataFrame:
         """History in batches ``after < n <= through``."""

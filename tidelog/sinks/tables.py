@@ -43,12 +43,18 @@ def create_if_absent(
     schema: T.StructType,
     provider: str = "parquet",
     properties: dict[str, str] | None = None,
+    location: str | None = None,
 ) -> None:
-    """Create an empty table; an existing one is left as it is."""
+    """Create an empty table; an existing one is left as it is.
+
+    With ``location`` the files there are the table's content, so a session whose catalog
+    does not know the table finds its rows again.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     extra = ", ".join(f"'{k}' = '{v}'" for k, v in (properties or {}).items())
     clause = f" TBLPROPERTIES ({extra})" if extra else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {provider}{clause}")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {provider}{where}{clause}")
 
 
 def bootstrap(spark: SparkSession, spec: TableSpec, provider: str = "parquet") -> list[str]:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog import schemas
 from tidelog.config import Settings, TableSpec
@@ -40,6 +42,18 @@ def kafka_options(settings: Settings) -> dict[str, str]:
     return options
 
 
+def starting_offsets(marks: DataFrame, topic: str) -> str | None:
+    """``startingOffsets`` just behind the highest stored offset of each log partition; None without any.
+
+    ``marks`` has one row per log partition.  Kafka wants every partition named: after
+    adding partitions to a topic, scan once from the earliest offset.
+    """
+    rows = marks.where(F.col("kafka_topic") == topic).collect()
+    if not rows:
+        return None
+    return json.dumps({topic: {str(r.kafka_partition): r.kafka_offset + 1 for r in sorted(rows)}})
+
+
 def read_change_log(
     spark: SparkSession,
     spec: TableSpec,
@@ -47,11 +61,14 @@ def read_change_log(
     path: str | None = None,
     file_format: str = "parquet",
     settings: Settings | None = None,
+    starting: str | None = None,
 ) -> DataFrame:
-    """Whole change log, earliest to latest, as a batch DataFrame."""
+    """The change log to its end as a batch DataFrame, from ``starting`` (Kafka only) or the earliest record."""
     if path is not None:
         return _files(spark.read, file_format).load(path)
     options = kafka_options(settings or Settings.from_env())
+    if starting:
+        options["startingOffsets"] = starting
     return spark.read.format("kafka").options(**options).option("subscribe", spec.topic).load()
 
 

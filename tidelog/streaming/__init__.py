@@ -1,11 +1,13 @@
-from tidelog.streaming.layers import start_layers, start_table_layers
+from tidelog.streaming.layers import process_batch, start_layers, start_table_layers
 from tidelog.streaming.progress import ProgressLog
-from tidelog.streaming.windows import changes_per_window, start_window_counts
+from tidelog.streaming.windows import changes_per_window, start_window_counts, window_counts
 
 __all__ = [
     "ProgressLog",
     "changes_per_window",
+    "process_batch",
     "start_layers",
     "start_table_layers",
     "start_window_counts",
+    "window_counts",
 ]

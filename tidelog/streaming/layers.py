@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.config import TableSpec
-from tidelog.operators import daily_changes, domain_counts, parse_events
+from tidelog.operators import daily_changes, domain_counts, drop_seen_events, parse_events
 from tidelog.plans.layers import DEDUPE, advance_gold, advance_silver, fresh_records
 from tidelog.sinks import tables
-from tidelog.sinks.lake import Lake
+from tidelog.sinks.lake import DAILY, SILVER, Lake
 
 log = logging.getLogger(__name__)
 
@@ -48,6 +48,8 @@ def start_layers(
     """
     if merge_every < 1:
         raise ValueError("merge_every must be at least 1")
+    if trigger_seconds is None:
+        merge_every = 1  # a drained stream ends merged
     if dedupe not in DEDUPE:
         raise ValueError(f"dedupe must be one of {DEDUPE}, not {dedupe!r}")
 
@@ -73,8 +75,8 @@ def start_table_layers(
 ) -> StreamingQuery:
     """The same three layers in catalog tables that support ``MERGE``.
 
-    :func:`tidelog.sinks.bootstrap` creates them.  Here a repeated micro-batch
-    can append to Bronze twice, as the catalog's append has no batch identity.
+    :func:`tidelog.sinks.bootstrap` creates them.  The catalog's append has no batch
+    identity, so a repeated micro-batch leaves out the log positions that Bronze holds.
     """
 
     def micro_batch(batch: DataFrame, batch_id: int) -> None:
@@ -83,9 +85,9 @@ def start_table_layers(
             if batch.isEmpty():
                 log.info("batch %d: no new events", batch_id)
                 return
-            tables.append_rows(batch, spec.bronze_table)
-            tables.merge_into(batch, spec, spec.silver_table)
             session = batch.sparkSession
+            tables.append_rows(drop_seen_events(batch, session.table(spec.bronze_table)), spec.bronze_table)
+            tables.merge_into(batch, spec, spec.silver_table)
             if spec.domain_column:
                 domains = domain_counts(session.table(spec.silver_table), spec)
                 tables.replace_table(domains, spec.domain_table)
@@ -127,8 +129,9 @@ def process_batch(
     events = parse_events(fresh_records(change_log, lake, dedupe), lake.spec)
     rows = lake.write_bronze(events, number)
     log.info("batch %s: bronze batch %d, rows %s", owner, number, rows)
-    # Counted while writing; None means a retry of a batch that Bronze has.
-    if rows == 0 or not merge:
+    waiting = lake.batches(after=min(lake.version(SILVER), lake.version(DAILY)))
+    # A batch without rows is no reason to merge, but earlier ones may still wait.
+    if not merge or not waiting or (rows == 0 and waiting == [number]):
         return
     advance_silver(lake, mode)
     advance_gold(lake)

@@ -1,9 +1,9 @@
-"""Progress of streaming queries as log lines and rows."""
+"""Progress of streaming queries as log lines and as rows of a table."""
 
 from __future__ import annotations
 
 import logging
-from collections import deque
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -12,16 +12,23 @@ log = logging.getLogger(__name__)
 
 _SCHEMA = (
     "query_name STRING, query_id STRING, batch_id BIGINT, input_rows BIGINT, "
-    "rows_per_second DOUBLE, duration_ms BIGINT, at STRING"
+    "rows_per_second DOUBLE, duration_ms BIGINT, at STRING, failure STRING"
 )
 
+# Rows that are written together.  A terminated query writes what is left.
+_TOGETHER = 20
+
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the newest progress reports of every query in the session."""
+    """Writes the progress reports of every query in the session below ``path``.
+
+    Without ``path`` they are only logged and held until ``rows`` takes them.
+    """
 
-    def __init__(self, keep: int = 1000):
-        self._rows: deque[tuple] = deque(maxlen=keep)
-        self.failures: deque[str] = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession | None = None, path: str | None = None):
+        self._spark, self._path = spark, path
+        self._waiting: list[tuple] = []
+        self._lock = threading.Lock()
 
     def onQueryStarted(self, event):
         log.info("query %s started (%s)", event.name, event.id)
@@ -36,17 +43,51 @@ class ProgressLog(StreamingQueryListener):
             float(p.processedRowsPerSecond or 0.0),
             int(p.durationMs.get("triggerExecution", 0)),
             p.timestamp,
+            None,
         )
-        self._rows.append(row)
         log.info("query %s batch %s: %s rows, %.1f rows/s, %s ms", row[0], *row[2:6])
+        self._add(row, flush=False)
 
     def onQueryTerminated(self, event):
         if event.exception:
-            self.failures.append(event.exception)
             log.error("query %s failed: %s", event.id, event.exception)
+            self._add((None, str(event.id), None, None, None, None, None, event.exception), flush=True)
+        else:
+            self.flush()
+
+    def _add(self, row: tuple, flush: bool) -> None:
+        with self._lock:
+            self._waiting.append(row)
+            full = flush or len(self._waiting) >= _TOGETHER
+        if full:
+            self.flush()
+
+    def flush(self) -> None:
+        """Append the waiting rows to the table."""
+        if not self._path:
+            return
+        with self._lock:
+            rows, self._waiting = self._waiting, []
+        if rows:
+            frame = self._spark.createDataFrame(rows, _SCHEMA)
+            frame.coalesce(1).write.mode("append").parquet(self._path)
 
     def rows(self) -> list[tuple]:
-        return list(self._rows)
+        """Rows that are not in the table yet."""
+        with self._lock:
+            return list(self._waiting)
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows(), _SCHEMA)
+
+
+_WATCHED: dict[tuple[int, str], ProgressLog] = {}
+
+
+def watch_progress(spark: SparkSession, path: str) -> ProgressLog:
+    """The session's listener for ``path``; attached once."""
+    key = (id(spark), path)
+    if key not in _WATCHED:
+        _WATCHED[key] = ProgressLog(spark, path)
+        spark.streams.addListener(_WATCHED[key])
+    return _WATCHED[key]

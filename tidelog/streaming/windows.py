@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,14 +41,30 @@ def start_window_counts(
     watermark: str = "10 minutes",
     trigger_seconds: int | None = 30,
 ) -> StreamingQuery:
-    """Write closed windows to Parquet files, each window once."""
+    """Write the windows that each micro-batch changed, with their counts so far.
+
+    :func:`window_counts` reads them.  Open windows are there as well as closed ones; a
+    repeated micro-batch writes its folder again.
+    """
+
+    def changed(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
     writer = (
         changes_per_window(events, width, watermark)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
+        .writeStream.foreachBatch(changed)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
     )
     if trigger_seconds is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{trigger_seconds} seconds").start()
+
+
+def window_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The latest count of every window and operation that :func:`start_window_counts` wrote."""
+    return (
+        spark.read.parquet(path)
+        .groupBy("window_start", "window_end", "op_type")
+        .agg(F.max_by("event_count", "batch").alias("event_count"))
+    )
