@@ -256,6 +256,14 @@ def test_any_text_is_encoded_as_the_library_does(ranks, seed):
         assert ids.tolist() == library.encode_ordinary(body)
 
 
+def test_forgetting_words_between_batches_changes_nothing(ranks, monkeypatch):
+    bodies = [["The old words", "The new"], ["The old words", "once more The"], ["The end"]]
+    whole = [[x.tolist() for x in byte_bpe.Encoder(*ranks).batch(b)] for b in bodies]
+    monkeypatch.setattr(byte_bpe, "REMEMBERED_WORDS", 2)
+    encoder = byte_bpe.Encoder(*ranks)
+    assert [[x.tolist() for x in encoder.batch(b)] for b in bodies] == whole
+
+
 def test_the_native_fold_gives_the_same_ids(spark, ranks):
     words = [" the", "thernonsh", " Straße", "é", "a", " 2024", "aaaaaaaa"]
     found = byte_bpe.fold_words(spark.createDataFrame([(w,) for w in words], "word string"), ranks[0])

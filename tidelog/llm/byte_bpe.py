@@ -162,8 +162,6 @@ class Encoder:
         return out
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words.clear()
         short = []
         for word in words:
             raw = word.encode()
@@ -180,6 +178,8 @@ class Encoder:
 
     def batch(self, bodies: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
+        if len(self.words) > REMEMBERED_WORDS:
+            self.words.clear()
         known, parts = self.words, []
         unknown: set[str] = set()
         for body in bodies:
