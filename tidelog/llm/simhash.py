@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import components
@@ -327,7 +327,7 @@ def copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     nodes = stored(nodes, "texts")
     pairs = stored(_candidates(nodes), "pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = stored(_shingle_sets(rows.join(wanted, "id", "left_semi")).dropDuplicates(["id"]), "shingles")
+    sets = stored(_shingle_sets(rows.join(wanted.hint("merge"), "id", "left_semi")).dropDuplicates(["id"]), "shingles")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"
     )
@@ -345,9 +345,10 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     Rows without a key stay; of rows with the same key one stays.
     """
     found = stored(copies(docs, text, key), "groups")
-    spare = found.where("id <> component").select("id").distinct()
-    twice = found.groupBy("id").count().where("count > 1").select("id")
-    rest = docs.join(spare, docs[key] == spare["id"], "left_anti")
-    single = rest.join(twice, rest[key] == twice["id"], "left_anti")
-    repeated = rest.join(twice, rest[key] == twice["id"], "left_semi").dropDuplicates([key])
-    return single.unionByName(repeated)
+    spare = found.where("id <> component").select(F.col("id").alias("_spare")).distinct()
+    # Texts are dealt by key once, whatever the sizes: anti join and row numbers share the exchange.
+    keyed = docs.where(docs[key].isNotNull())
+    rest = keyed.join(spare.hint("merge"), keyed[key] == F.col("_spare"), "left_anti")
+    first = rest.withColumn("_nth", F.row_number().over(Window.partitionBy(key).orderBy(key)))
+    single = first.where("_nth = 1").drop("_nth")
+    return single.unionByName(docs.where(docs[key].isNull()))
