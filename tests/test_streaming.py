@@ -6,6 +6,7 @@ from pyspark.errors import StreamingQueryException
 from tidelog import USERS, schemas
 from tidelog.operators import daily_changes, latest_state, parse_events, to_silver
 from tidelog.plans import jobs
+from tidelog.plans.layers import fresh_state
 from tidelog.sinks.lake import DAILY, DOMAIN, SILVER
 from tidelog.sources import stream_change_log
 from tidelog.streaming import (
@@ -26,6 +27,10 @@ def rows(df):
     return sorted(map(tuple, df.drop(*CLOCKS).collect()), key=str)
 
 
+def many_frame(log, n):
+    return log.frame([log.record("c", k, DAY * 19_000 + k, name=f"name {k}", email=f"u{k}@x{k % 9}.com") for k in range(n)])
+
+
 @pytest.fixture
 def feed(tmp_path, spark, log):
     """Adds files to a change-log folder and streams them one file per batch."""
@@ -228,6 +233,18 @@ def test_a_due_merge_comes_even_if_its_batch_is_empty(feed, lake, log):
     assert lake.read("silver").count() == 1
 
 
+def test_a_merge_waits_for_its_share_of_silver(lake, log):
+    process_batch(many_frame(log, 400), "q-0", lake, merge_share=0.5)
+    first = lake.version(SILVER)
+    assert first == 0
+    process_batch(log.frame([log.record("u", 1, DAY * 20_000, name="Z")]), "q-1", lake, merge_share=0.9)
+    assert lake.version(SILVER) == first and 0 < lake.waiting_share() < 0.9
+    fresh = fresh_state(lake)
+    assert fresh.where("name = 'Z'").count() == 1
+    process_batch(log.frame([log.record("u", 2, DAY * 20_000)]), "q-2", lake, merge_share=0.0)
+    assert lake.version(SILVER) == lake.last_batch() and lake.waiting_share() == 0
+
+
 def test_progress_rows_reach_their_table(feed, lake, log, spark, tmp_path):
     progress = ProgressLog(spark, str(tmp_path / "progress"))
     spark.streams.addListener(progress)

@@ -24,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--mode", choices=MODES, required=True)
     p.add_argument("--topic", help="registered topic (default: KAFKA_TOPIC)")
     p.add_argument("--consume-mode", choices=("batch", "streaming"), default="batch")
+    p.epilog = "A stream takes 10,000 offsets a trigger unless TIDELOG_MAX_OFFSETS_PER_TRIGGER says more."
     p.add_argument("--checkpoint-dir", help="durable checkpoint folder (STREAMING_CHECKPOINT)")
     p.add_argument("--layer", choices=jobs.LAYERS, default="all")
     p.add_argument("--full", action="store_true", help="rebuild layers from the whole history")
@@ -41,6 +42,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--seed-key", help="its key columns, comma-separated")
     p.add_argument("--seed-query", help="query that runs at TIDELOG_JDBC_URL (or --source-path: files)")
     p.add_argument("--merge-every", type=int, default=1)
+    p.add_argument(
+        "--merge-share",
+        type=float,
+        default=0.0,
+        help="merge once the waiting batches have this share of Silver's bytes",
+    )
     p.add_argument("--available-now", action="store_true", help="drain the stream and stop")
     p.add_argument("--show-config", action="store_true")
     return p
@@ -91,6 +98,7 @@ def _run(args, settings: Settings, spec, spark) -> int:
             settings,
             available_now=args.available_now,
             merge_every=args.merge_every,
+            merge_share=args.merge_share,
             dedupe=args.dedupe or "none",
             register=True,
         )

@@ -140,6 +140,14 @@ class Lake:
         """Numbers of the committed batches after ``after``, in order."""
         return sorted(n for n in self._units() if n > after)
 
+    def waiting_share(self) -> float:
+        """Bytes of history that Silver does not cover, as a share of Silver's own; infinite without a Silver."""
+        done = self.version(SILVER)
+        if done < 0:
+            return float("inf")
+        waiting = sum(self.folders.size("bronze", f"batch={n}") for n in self.batches(after=done))
+        return waiting / max(1, self.folders.size(SILVER, self._folder(SILVER, done)))
+
     def loose_batches(self, through: int) -> tuple[int, list[int]]:
         """First batch after the last compaction, and the committed ones from there."""
         first = self._compacted_through() + 1

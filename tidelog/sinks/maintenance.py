@@ -42,7 +42,7 @@ def drop_compacted(lake: Lake) -> list[int]:
     return lake.drop_replaced()
 
 
-def retire_versions(lake: Lake, keep: int = 100) -> dict[str, list[int]]:
+def retire_versions(lake: Lake, keep: int = 5) -> dict[str, list[int]]:
     """Keep the newest ``keep`` versions of Silver and Gold."""
     return {table: lake.retire(table, keep) for table in VERSIONED}
 

@@ -13,6 +13,7 @@ from tidelog.operators import daily_changes, domain_counts, drop_seen_events, pa
 from tidelog.plans.layers import DEDUPE, advance_gold, advance_silver, fresh_records
 from tidelog.sinks import tables
 from tidelog.sinks.lake import DAILY, SILVER, Lake
+from tidelog.sinks.maintenance import retire_versions
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +29,8 @@ def start_layers(
     query_name: str | None = None,
     trigger_seconds: int | None = 30,
     merge_every: int = 1,
+    merge_share: float = 0.0,
+    keep_versions: int = 5,
     mode: str = "ordered",
     dedupe: str = "none",
     bronze_only: bool = False,
@@ -38,7 +41,10 @@ def start_layers(
     Each micro-batch is first committed to Bronze.  Later steps read that
     committed batch, so nothing is cached and a lost executor costs a re-read,
     not a re-parse of the source.  ``merge_every`` merges several batches at
-    once when Silver is large.  A step that fails stops the query; after a
+    once, and ``merge_share`` waits until the batches not merged yet have that share of
+    Silver's bytes: then what a merge rewrites stays within 1 / ``merge_share`` times the
+    changes, however large Silver is, and :func:`tidelog.plans.layers.fresh_state` reads
+    the rest.  Only the ``keep_versions`` newest versions of each table stay.  A step that fails stops the query; after a
     restart the same batch is repeated and resumes where it broke off.
 
     The checkpoint already keeps one query from reading a record twice.
@@ -49,7 +55,7 @@ def start_layers(
     if merge_every < 1:
         raise ValueError("merge_every must be at least 1")
     if trigger_seconds is None:
-        merge_every = 1  # a drained stream ends merged
+        merge_every, merge_share = 1, 0.0  # a drained stream ends merged
     if dedupe not in DEDUPE:
         raise ValueError(f"dedupe must be one of {DEDUPE}, not {dedupe!r}")
 
@@ -58,7 +64,11 @@ def start_layers(
         query_id = context.getLocalProperty(_QUERY_ID) or query_name or "stream"
         merge = not bronze_only and (batch_id + 1) % merge_every == 0
         owner = f"{query_id}-{batch_id}"
-        process_batch(batch, owner, lake, merge=merge, mode=mode, dedupe=dedupe)
+        process_batch(
+            batch, owner, lake, merge=merge, merge_share=merge_share, mode=mode, dedupe=dedupe
+        )
+        if merge:
+            retire_versions(lake, keep_versions)
         if register and merge:
             lake.register()
 
@@ -121,6 +131,7 @@ def process_batch(
     lake: Lake,
     *,
     merge: bool = True,
+    merge_share: float = 0.0,
     mode: str = "ordered",
     dedupe: str = "none",
 ) -> None:
@@ -133,6 +144,8 @@ def process_batch(
     # A batch without rows is no reason to merge, but earlier ones may still wait.
     if not merge or not waiting or (rows == 0 and waiting == [number]):
         return
+    if merge_share and lake.waiting_share() < merge_share:
+        return
     advance_silver(lake, mode)
     advance_gold(lake)
     log.info("batch %s: silver and gold at version %d", owner, number)
