@@ -129,8 +129,13 @@ def _same_as_neighbour(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.r_[False, equal][: len(columns[0])], np.r_[equal, False][: len(columns[0])]
 
 
+def _keys(phrase: np.ndarray, stretch: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """What a sample is dealt by."""
+    return np.where((flags & _APART) > 0, phrase ^ (stretch * np.uint64(_BASE)), phrase)
+
+
 def _sampled(rows: DataFrame, parts: int) -> DataFrame:
-    """Packed samples: key, phrase, stretch, row, first and last start, flags."""
+    """Packed samples: phrase, stretch, row, last start, starts before it, flags."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,36 +159,37 @@ def _sampled(rows: DataFrame, parts: int) -> DataFrame:
             flags = np.zeros(len(row), np.uint8)
             flags[before | after] = _TWICE
             flags[before] = _SETTLED  # the first of a repeated stretch goes on as its example
-            key = phrase.copy()
             starts = np.flatnonzero(np.r_[True, phrase[1:] != phrase[:-1]])
             size = np.diff(np.r_[starts, len(phrase)])
             frequent = np.repeat(size, size) >= FREQUENT
-            key[frequent] = phrase[frequent] ^ (stretch[frequent] * np.uint64(_BASE))
-            key[flags == _SETTLED] = row[flags == _SETTLED].view(np.uint64)
+            flags[frequent & (flags != _SETTLED)] |= _APART
             marks = starts[size >= FREQUENT]
             columns = [
-                np.r_[key, phrase[marks]],
                 np.r_[phrase, phrase[marks]],
                 np.r_[stretch, np.zeros(len(marks), np.uint64)],
                 np.r_[row, np.zeros(len(marks), np.int64)],
-                np.r_[first, np.zeros(len(marks), np.int32)],
                 np.r_[last, np.zeros(len(marks), np.int32)],
-                np.r_[flags | np.where(frequent & (flags != _SETTLED), _APART, np.uint8(0)), np.full(len(marks), _MARK)],
+                np.r_[(last - first).astype(np.uint8), np.zeros(len(marks), np.uint8)],
+                np.r_[flags, np.full(len(marks), _MARK)],
             ]
-            part = (columns[0] * np.uint64(_BASE) >> np.uint64(33)) % np.uint64(parts)
+            key = _keys(columns[0], columns[1], columns[5])
+            through = columns[5] == _SETTLED
+            key[through] = columns[2][through].view(np.uint64)
+            part = (key * np.uint64(_BASE) >> np.uint64(33)) % np.uint64(parts)
             made = _packed(part.astype(np.int64), columns)
             if made is not None:
                 yield made
 
-    return map_batches(rows, kernel, "part int, " + ", ".join(f"c{k} binary" for k in range(7)))
+    return map_batches(rows, kernel, "part int, " + ", ".join(f"c{k} binary" for k in range(6)))
 
 
 def _settle(packed: DataFrame) -> DataFrame:
     """``row``, ``first``, ``last``, ``kind``: 0 repeated, 1 to be looked at start by start, 2 both."""
-    kinds = [np.uint64, np.uint64, np.uint64, np.int64, np.int32, np.int32, np.uint8]
+    kinds = [np.uint64, np.uint64, np.int64, np.int32, np.uint8, np.uint8]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, phrase, stretch, row, first, last, flags in _parts_of(batches, kinds):
+        for phrase, stretch, row, last, back, flags in _parts_of(batches, kinds):
+            key, first = _keys(phrase, stretch, flags), last - back.astype(np.int32)
             through = (flags & _SETTLED) > 0
             done = [row[through], first[through], last[through]]
             live = ~through
