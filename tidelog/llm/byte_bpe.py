@@ -103,6 +103,7 @@ class Encoder:
         self.vocabulary = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
+        self.names = list(map(str, range(len(self.vocabulary))))
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
         pairs = sorted(
             (ranks[token[:i]] << 32 | ranks[token[i:]], rank)
@@ -181,35 +182,40 @@ class Encoder:
         if len(self.words) > REMEMBERED_WORDS:
             self.words.clear()
         known, parts = self.words, []
-        unknown: set[str] = set()
+        get = known.get
+        missing: set[str] = set()
         for body in bodies:
             if "  " in body or self.crowded(body):
                 found = self.split(body)
-                unknown.update(w for w in found if w not in known)
             else:
                 found = body.split(" ")
                 found[1:] = [" " + x for x in found[1:]]
-                for word in {x for x in found if x not in known}:
-                    pieces = self.split(word)
-                    unknown.update(w for w in pieces if w not in known)
-            parts.append(found)
-        self._learn(unknown)
+            packed = list(map(get, found))
+            if None in packed:
+                missing.update([x for x, y in zip(found, packed) if y is None])
+            parts.append((found, packed))
+        pieces = {x: self.split(x) for x in missing}
+        self._learn({p for found in pieces.values() for p in found if p not in known})
+        for x, found in pieces.items():
+            if x not in known:
+                known[x] = b"".join([known[p] for p in found])
         out = []
-        for found in parts:
-            packed = [known.get(x) for x in found]
+        for found, packed in parts:
             if None in packed:
-                packed = [
-                    y if y is not None else b"".join([known[p] for p in self.split(x)])
-                    for x, y in zip(found, packed)
-                ]
+                packed = [known[x] if y is None else y for x, y in zip(found, packed)]
             out.append(np.frombuffer(b"".join(packed), np.int32))
-        for word in [w for w in unknown if len(w) > 2 * LONG_WORD]:
-            del known[word]
+        for x, found in pieces.items():
+            for word in (x, *found):
+                if len(word) > 2 * LONG_WORD:
+                    known.pop(word, None)
         return out
 
     def decoded(self, ids: np.ndarray) -> bytes:
-        vocabulary = self.vocabulary
-        return b"".join([vocabulary[i] for i in ids.tolist()])
+        return b"".join(map(self.vocabulary.__getitem__, ids.tolist()))
+
+    def written(self, ids: np.ndarray) -> str:
+        """The ids in decimal, joined by commas."""
+        return ",".join(map(self.names.__getitem__, ids.tolist()))
 
 
 _ENCODERS: dict[tuple[int, str], Encoder] = {}
@@ -252,7 +258,7 @@ def _sums(encoder: Encoder, ids: list[np.ndarray]) -> dict[str, pa.Array]:
     sha = lambda x: hashlib.sha256(x).hexdigest()
     return {
         "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-        "ids_sha256": pa.array([sha(",".join(map(str, x.tolist())).encode()) for x in ids], pa.string()),
+        "ids_sha256": pa.array([sha(encoder.written(x).encode()) for x in ids], pa.string()),
         "decoded_sha256": pa.array([sha(encoder.decoded(x)) for x in ids], pa.string()),
     }
 
