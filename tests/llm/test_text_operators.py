@@ -151,6 +151,34 @@ def test_one_of_each_group_of_near_copies_stays(docs, corpus):
     assert kept == sorted({i for i, *_ in corpus} - gone - blank)
 
 
+def shingle_sets(texts):
+    split = [t.split() for t in texts]
+    return [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in split]
+
+
+def test_copies_meet_their_original_whatever_its_id(spark, monkeypatch):
+    """Edited copies are near the original but not each other; a bucket takes several tiles."""
+    rnd = random.Random(8)
+    original = [f"w{rnd.randrange(10_000)}" for _ in range(304)]
+    texts = []
+    for k in range(120):
+        words = list(original)
+        if k != 60:
+            for at in rnd.sample(range(60), 6):
+                words[5 * at] = f"edit{k}x{at}"
+        texts.append(" ".join(words))
+    monkeypatch.setattr(simhash, "COPY_TILE", 16)
+    sets = shingle_sets(texts)
+    links = [(a, b) for a in range(120) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(links) < 600  # few beside those to the original
+    label = components(120, links)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.id: r.component for r in simhash.copies(frame).collect()}
+    # A pair meets in no bucket once in some hundred times.
+    assert sum(found.get(k, k) != label[k] for k in range(120)) <= 3
+    assert len({r.doc_id for r in simhash.keep_one(frame).collect()}) <= len(set(label)) + 3
+
+
 # -- decontamination -------------------------------------------------------------
 
 

@@ -210,6 +210,8 @@ COPY_RADIUS = 26
 #: Smallest shingle hashes under several orders, in bands: two texts of similarity 0.8 miss
 #: each other in all bands once in 600 times, and those of 0.9 once in 10 million.
 BANDS, BAND_ROWS = 16, 5
+#: Texts of a tile of a bucket, and shingles of its texts.
+COPY_TILE, COPY_TILE_SHINGLES = 128, 1 << 18
 
 _MIX = np.array([random.Random(5000 + k).getrandbits(64) | 1 for k in range(BANDS * BAND_ROWS)], np.uint64)
 
@@ -232,27 +234,30 @@ def _band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """``id``, digest of the text, fingerprint and band keys (none for a text without words)."""
+    """``id``, digest of the text, fingerprint, number of distinct shingles and band keys (none for a text without words)."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digest, mark, keys = [], [], []
+            digest, mark, size, keys = [], [], [], []
             for raw in raw_texts(batch):
                 hashes = _shingle_hashes(raw.lower().split(), COPY_WORDS)
                 digest.append(hashlib.sha256(raw).digest()[:16])
                 mark.append(_fingerprint(hashes))
-                keys.append(_band_keys(np.unique(hashes)).view(np.int64).tolist() if len(hashes) else [])
+                hashes = np.unique(hashes)
+                size.append(len(hashes))
+                keys.append(_band_keys(hashes).view(np.int64).tolist() if len(hashes) else [])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     pa.array(digest, pa.binary()),
                     pa.array(np.array(mark, np.uint64).view(np.int64)),
+                    pa.array(size, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["id", "digest", "fingerprint", "keys"],
+                names=["id", "digest", "fingerprint", "size", "keys"],
             )
 
-    return map_batches(docs, kernel, "id long, digest binary, fingerprint long, keys array<long>")
+    return map_batches(docs, kernel, "id long, digest binary, fingerprint long, size long, keys array<long>")
 
 
 def _shingle_sets(docs: DataFrame) -> DataFrame:
@@ -268,72 +273,117 @@ def _shingle_sets(docs: DataFrame) -> DataFrame:
     return map_batches(docs, kernel, "id long, shingles array<long>")
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs ``a`` < ``b`` of nodes that share a band key and pass the pivot tables.
-
-    In a bucket each node is paired with the smallest one and with its neighbours in the
-    order of fingerprints, so a bucket of n gives 2n pairs at most.
-    """
-    keys = nodes.select("node", "fingerprint", F.explode("keys").alias("key"))
-    tops = keys.groupBy("key").agg(F.min(F.struct("node", "fingerprint")).alias("top"), F.count(F.lit(1)).alias("n"))
-    met = keys.join(tops.where("n > 1"), "key")
-    star = met.where("node <> top.node").select(
-        F.col("top.node").alias("a"),
-        F.col("top.fingerprint").alias("fa"),
-        F.col("node").alias("b"),
-        F.col("fingerprint").alias("fb"),
-    )
-    # Neighbours: equal leading bits first, dealt by key and leading bits so that no bucket meets in one task.
-    dealt = met.where("n > 2").select(
-        "key", F.shiftrightunsigned("fingerprint", 52).alias("lead"), "fingerprint", "node"
+def _first_pairs(shared: DataFrame) -> DataFrame:
+    """Pairs ``a`` < ``b``: each text with the smallest one of each of its buckets, if their fingerprints are near."""
+    pairs = shared.where("node <> top").select(
+        F.col("top").alias("a"), F.col("top_fingerprint").alias("fa"), F.col("node").alias("b"), F.col("fingerprint").alias("fb")
     )
-    dealt = dealt.repartition("key", "lead").sortWithinPartitions("key", "lead", "fingerprint", "node")
-
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            key, lead, mark, node = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if last is not None:
-                key, lead, mark, node = [np.r_[x, y] for x, y in zip(last, (key, lead, mark, node))]
-            last = [x[-1:] for x in (key, lead, mark, node)]
-            same = np.flatnonzero((key[1:] == key[:-1]) & (lead[1:] == lead[:-1]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (node[same], mark[same], node[same + 1], mark[same + 1])],
-                names=["a", "fa", "b", "fb"],
-            )
-
-    chain = map_batches(dealt, kernel, "a long, fa long, b long, fb long")
-    pairs = star.union(chain)
     # Coordinates to the references as built-in expressions; a pair goes at the first that is too far off.
     far = F.lit(False)
     for pivot in PIVOTS[:8].view(np.int64).tolist():
         one, two = [F.bit_count(F.col(c).bitwiseXOR(F.lit(pivot))) for c in ("fa", "fb")]
         far = far | (F.abs(one - two) > COPY_RADIUS)
     near = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= COPY_RADIUS
-    return pairs.where(~far).where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.where(~far).where(near).select("a", "b").distinct()
+
+
+def _alike(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions i < j of the sets (of distinct values) whose similarity is ``COPY_SIMILARITY`` or more."""
+    n, size = len(sets), np.fromiter(map(len, sets), np.int64, len(sets))
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    column = np.cumsum(np.r_[True, flat[1:] != flat[:-1]]) - 1
+    often = np.bincount(column)[column] > 1  # a value of one set is in no intersection
+    column, owner = np.unique(column[often], return_inverse=True)[1], owner[often]
+    both, step = np.zeros((n, n)), 4096
+    for k in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        start, stop = np.searchsorted(column, [k, k + step])
+        there = np.zeros((n, step), np.float32)
+        there[owner[start:stop], column[start:stop] - k] = 1
+        both += there @ there.T
+    return np.nonzero(np.triu(both >= COPY_SIMILARITY * (size[:, None] + size[None, :] - both), 1))
+
+
+def _bucket_links(shared: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` of all pairs of a bucket that the components so far leave apart, from their whole shingle sets.
+
+    A bucket is held by its smallest text's component; the others in it have to meet all.
+    Both sides are cut into tiles, and each pair of tiles with others in it is compared in one
+    piece; a group of n linked texts gives n - 1 links there.
+    """
+    known = joined.select("node", F.col("component").alias("held"))
+    placed = stored(
+        shared.select("key", "node", "size").join(known, "node", "left").withColumn("held", F.coalesce("held", "node")), "placed"
+    )
+    open_ = placed.groupBy("key").agg(F.min("held").alias("least"), F.max("held").alias("most"), F.min_by("held", "node").alias("top"))
+    sides = placed.join(open_.where("least <> most").select("key", "top"), "key").withColumn("other", F.col("held") != F.col("top"))
+    sides = stored(sides.select("key", "node", "size", "other"), "sides")
+    tiles = lambda of: F.ceil(
+        F.greatest(F.count_if(of) / COPY_TILE, F.sum(F.when(of, F.col("size"))) / COPY_TILE_SHINGLES)
+    ).cast("int")
+    # Buckets of the same texts are compared once.
+    buckets = sides.groupBy("key").agg(
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(7))).alias("two"),
+        tiles(F.col("other")).alias("others"),
+        tiles(~F.col("other")).alias("held"),
+    )
+    buckets = buckets.groupBy("one", "two").agg(F.min(F.struct("key", "others", "held")).alias("x")).select("x.*")
+    own = lambda n: F.pmod(F.xxhash64("node", F.lit(7)), F.col(n)).cast("int")
+    cells = (
+        sides.join(buckets, "key")
+        .withColumn("own", F.when(F.col("other"), own("others")).otherwise(F.col("others") + own("held")))
+        .withColumn("last", F.col("others") - 1 + F.when(F.col("other"), F.col("held")).otherwise(0))
+        .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("last"))))
+        .select("node", F.xxhash64("key", F.least("own", "to"), F.greatest("own", "to")).alias("cell"))
+    )
+    dealt = cells.join(sets.withColumnRenamed("id", "node"), "node").select("cell", "node", "shingles")
+    dealt = dealt.repartition("cell").sortWithinPartitions("cell", "node")
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, node, shingles in _runs(batches):
+            edges = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
+            a, b = [], []
+            for s, e in zip(edges[:-1], edges[1:]):
+                label = _forest(e - s, *_alike(list(shingles[s:e])))
+                linked = np.flatnonzero(label != np.arange(e - s))
+                a.append(node[s + label[linked]])
+                b.append(node[s + linked])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    return map_batches(dealt, kernel, "a long, b long")
 
 
 def copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``id`` and ``component`` of every row of a group of copies or near copies (five words, 0.8).
 
-    Equal texts are one node.  Other texts are candidates if they share a band key;
-    the pivot tables and then their whole shingle sets decide.
+    Equal texts are one node.  Other texts meet in the buckets of their band keys, and whole
+    shingle sets decide: first against the smallest text of each bucket, then between
+    all texts of a bucket that are not in one component by then.
     """
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     marks = stored(_sketches(rows), "sketches")
     nodes = marks.where("id is not null").groupBy("digest").agg(
-        F.min("id").alias("node"), F.first("fingerprint").alias("fingerprint"), F.first("keys").alias("keys")
+        F.min("id").alias("node"), F.first("fingerprint").alias("fingerprint"), F.first("size").alias("size"), F.first("keys").alias("keys")
     )
     nodes = stored(nodes, "texts")
-    pairs = stored(_candidates(nodes), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    keys = nodes.select("node", "fingerprint", "size", F.explode("keys").alias("key"))
+    tops = keys.groupBy("key").agg(F.min(F.struct("node", "fingerprint")).alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    tops = tops.select("key", F.col("top.node").alias("top"), F.col("top.fingerprint").alias("top_fingerprint"))
+    shared = stored(keys.join(tops, "key"), "shared")
+    pairs = stored(_first_pairs(shared), "pairs")
+    wanted = shared.select(F.col("node").alias("id")).distinct()
     sets = stored(_shingle_sets(rows.join(wanted.hint("merge"), "id", "left_semi")).dropDuplicates(["id"]), "shingles")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"
     )
-    shared = F.size(F.array_intersect("sa", "sb"))
-    alike = shared >= COPY_SIMILARITY * (F.size("sa") + F.size("sb") - shared)
+    met = F.size(F.array_intersect("sa", "sb"))
+    alike = met >= COPY_SIMILARITY * (F.size("sa") + F.size("sb") - met)
     joined = components(both.where(alike).select("a", "b"))
+    more = stored(_bucket_links(shared, joined, sets), "more")
+    if not more.isEmpty():
+        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     groups = nodes.select("digest", "node").join(joined, "node", "left")
     found = marks.select("id", "digest").join(groups, "digest")
     return found.select("id", F.coalesce("component", "node").alias("component")).where("id <> component or component is not null")
