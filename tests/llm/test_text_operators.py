@@ -179,6 +179,17 @@ def test_copies_meet_their_original_whatever_its_id(spark, monkeypatch):
     assert len({r.doc_id for r in simhash.keep_one(frame).collect()}) <= len(set(label)) + 3
 
 
+def test_near_copies_do_not_count_repeats(spark):
+    """The same set of shingles, some of them repeated: one group."""
+    rnd = random.Random(4)
+    texts = []
+    for k in range(12):
+        body = " ".join(f"w{rnd.randrange(10_000)}" for _ in range(200))
+        texts += [body + f" again{k}" * n for n in (8, 180)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(frame).collect()) == list(range(0, 24, 2))
+
+
 # -- decontamination -------------------------------------------------------------
 
 

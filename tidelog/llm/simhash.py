@@ -205,8 +205,6 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, text: str
 
 #: Shingle size and similarity at which two texts count as near copies.
 COPY_WORDS, COPY_SIMILARITY = 5, 0.8
-#: Bits in which fingerprints of near copies may differ: far above what a similarity of 0.8 gives.
-COPY_RADIUS = 26
 #: Smallest shingle hashes under several orders, in bands: two texts of similarity 0.8 miss
 #: each other in all bands once in 600 times, and those of 0.9 once in 10 million.
 BANDS, BAND_ROWS = 16, 5
@@ -234,30 +232,27 @@ def _band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """``id``, digest of the text, fingerprint, number of distinct shingles and band keys (none for a text without words)."""
+    """``id``, digest of the text, number of distinct shingles and band keys (none for a text without words)."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digest, mark, size, keys = [], [], [], []
+            digest, size, keys = [], [], []
             for raw in raw_texts(batch):
-                hashes = _shingle_hashes(raw.lower().split(), COPY_WORDS)
+                hashes = np.unique(_shingle_hashes(raw.lower().split(), COPY_WORDS))
                 digest.append(hashlib.sha256(raw).digest()[:16])
-                mark.append(_fingerprint(hashes))
-                hashes = np.unique(hashes)
                 size.append(len(hashes))
                 keys.append(_band_keys(hashes).view(np.int64).tolist() if len(hashes) else [])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     pa.array(digest, pa.binary()),
-                    pa.array(np.array(mark, np.uint64).view(np.int64)),
                     pa.array(size, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["id", "digest", "fingerprint", "size", "keys"],
+                names=["id", "digest", "size", "keys"],
             )
 
-    return map_batches(docs, kernel, "id long, digest binary, fingerprint long, size long, keys array<long>")
+    return map_batches(docs, kernel, "id long, digest binary, size long, keys array<long>")
 
 
 def _shingle_sets(docs: DataFrame) -> DataFrame:
@@ -273,20 +268,6 @@ def _shingle_sets(docs: DataFrame) -> DataFrame:
     return map_batches(docs, kernel, "id long, shingles array<long>")
 
 
-def _first_pairs(shared: DataFrame) -> DataFrame:
-    """Pairs ``a`` < ``b``: each text with the smallest one of each of its buckets, if their fingerprints are near."""
-    pairs = shared.where("node <> top").select(
-        F.col("top").alias("a"), F.col("top_fingerprint").alias("fa"), F.col("node").alias("b"), F.col("fingerprint").alias("fb")
-    )
-    # Coordinates to the references as built-in expressions; a pair goes at the first that is too far off.
-    far = F.lit(False)
-    for pivot in PIVOTS[:8].view(np.int64).tolist():
-        one, two = [F.bit_count(F.col(c).bitwiseXOR(F.lit(pivot))) for c in ("fa", "fb")]
-        far = far | (F.abs(one - two) > COPY_RADIUS)
-    near = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= COPY_RADIUS
-    return pairs.where(~far).where(near).select("a", "b").distinct()
-
-
 def _alike(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Positions i < j of the sets (of distinct values) whose similarity is ``COPY_SIMILARITY`` or more."""
     n, size = len(sets), np.fromiter(map(len, sets), np.int64, len(sets))
@@ -365,14 +346,13 @@ def copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     marks = stored(_sketches(rows), "sketches")
     nodes = marks.where("id is not null").groupBy("digest").agg(
-        F.min("id").alias("node"), F.first("fingerprint").alias("fingerprint"), F.first("size").alias("size"), F.first("keys").alias("keys")
+        F.min("id").alias("node"), F.first("size").alias("size"), F.first("keys").alias("keys")
     )
     nodes = stored(nodes, "texts")
-    keys = nodes.select("node", "fingerprint", "size", F.explode("keys").alias("key"))
-    tops = keys.groupBy("key").agg(F.min(F.struct("node", "fingerprint")).alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    tops = tops.select("key", F.col("top.node").alias("top"), F.col("top.fingerprint").alias("top_fingerprint"))
+    keys = nodes.select("node", "size", F.explode("keys").alias("key"))
+    tops = keys.groupBy("key").agg(F.min("node").alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(keys.join(tops, "key"), "shared")
-    pairs = stored(_first_pairs(shared), "pairs")
+    pairs = stored(shared.where("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     wanted = shared.select(F.col("node").alias("id")).distinct()
     sets = stored(_shingle_sets(rows.join(wanted.hint("merge"), "id", "left_semi")).dropDuplicates(["id"]), "shingles")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
