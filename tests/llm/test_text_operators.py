@@ -224,6 +224,28 @@ def test_slots_must_map_one_to_one(spark):
     assert [r.doc_id for r in decontaminate.matches(rows, benchmark).collect()] == [1]
 
 
+def test_one_changed_value_at_any_place_is_found(spark):
+    rnd = random.Random(6)
+    items, rows = [], []
+    for n in range(8, 25):
+        for place in range(n):
+            words = [f"{rnd.choice(WORDS)}{''.join(rnd.choice('bcdfg') for _ in range(4))}" for _ in range(n)]
+            k = len(items)
+            items.append((k, " ".join([*words[:place], "41", *words[place + 1 :]])))
+            rows.append((k, "alpha beta " + " ".join([*words[:place], "97", *words[place + 1 :]]) + " gamma delta"))
+    dense = "red 3 blue 4 7 green 5 9 pink 6 gray 11 8 teal 12 plum 13"
+    items.append((1000, dense))
+    numbers = "21 22 23 24 25 26 27 28 29 30 31 32 33 34"
+    items.append((1001, numbers))
+    rows.append((1000, "so " + " ".join(str(int(x) + 50) if x.isdigit() else x for x in dense.split()) + " it is"))
+    rows.append((1001, "so " + " ".join(str(int(x) + 50) for x in numbers.split()) + " it is"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k, k) for k, _ in rows if k != 1001}
+    assert not any(r.verbatim for r in found if r.n_item <= 13)
+    assert all(r.n_matched == r.n_item for r in found)
+
+
 # -- quality ---------------------------------------------------------------------
 
 

@@ -7,7 +7,8 @@ one diagonal form a match if the slots are consistent: each value of the item st
 for one value of the document, and the other way round.
 
 A second view of the same tokens has no placeholders, only lower-case words.  It finds
-word-for-word passages whose capitals or digits are set differently.
+word-for-word passages whose capitals or digits are set differently.  Windows of both
+views on one diagonal add up to one match.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from xxhash import xxh64_intdigest
 
 from tidelog.llm.tables import map_batches, stored, texts
 
-#: Tokens of a window, and how many of them must not be placeholders.
+#: Tokens of a window, and how many tokens of a match must not be placeholders.
 WINDOW, LEAST_WORDS = 8, 5
 #: Tokens in a row that make a match; a shorter item has to match whole.
 LEAST_TOKENS = 13
@@ -100,7 +101,10 @@ def _hash_windows(each: np.ndarray, size: int) -> np.ndarray:
 
 
 def _batch_windows(bodies: list[str], memory: _Tokens):
-    """For both views: its number and the row, place, hash of each window that may count; then row sizes and a slot getter."""
+    """For both views: its number and the place, size, hash of each window; then rows, row starts and sizes, a slot and a hole getter.
+
+    Windows without a placeholder are the same in both views and come in the plain one only.
+    """
     split = [_TOKEN.findall(x) for x in bodies]
     memory.learn(set().union(*split) if split else set())
     get = memory.number.__getitem__
@@ -129,6 +133,9 @@ def _batch_windows(bodies: list[str], memory: _Tokens):
         kind = lambda i: "n" if number[i] else "u" if unit[i] else "p"
         return [f"{kind(i)}:{memory.token[ids[i]].lower()}" for i in range(start, start + size) if filled[i]]
 
+    def holes(start: int, size: int) -> list[int]:
+        return [i - int(first[row[start]]) for i in range(start, start + size) if filled[i]]
+
     found = []
     short = [int(r) for r in np.flatnonzero((sizes > 0) & (sizes < WINDOW))]
     for view, each in ((0, plain), (1, template)):
@@ -141,25 +148,24 @@ def _batch_windows(bodies: list[str], memory: _Tokens):
             size = np.r_[size, sizes[short]]
             values = np.r_[values, [_hash_windows(each[first[r] : first[r] + sizes[r]], int(sizes[r]))[0] for r in short]]
         if view:
-            holes = filled_before[at + size] - filled_before[at]
-            usable = (holes > 0) & (size - holes >= np.minimum(LEAST_WORDS, size))
+            usable = filled_before[at + size] > filled_before[at]
             at, size, values = at[usable], size[usable], values[usable]
         found.append((view, at, size, values.astype(np.uint64)))
-    return found, row, first, sizes, slots
+    return found, row, first, sizes, slots, holes
 
 
-_WINDOWS = "hash long, view int, pos int, n_tokens int, slots array<string>"
+_WINDOWS = "hash long, view int, pos int, n_tokens int, slots array<string>, holes array<int>"
 
 
 def _windows(rows: DataFrame, only: np.ndarray | None = None) -> DataFrame:
-    """``id``, ``hash``, ``view``, ``pos``, ``n_tokens``, ``slots`` of the windows (those in the sorted ``only``)."""
+    """``id``, ``hash``, ``view``, ``pos``, ``n_tokens``, ``slots``, ``holes`` (places of the slots) of the windows (those in the sorted ``only``)."""
     shared = None if only is None else rows.sparkSession.sparkContext.broadcast(only)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _Tokens()
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()))
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()))
         for batch in batches:
-            found, row, first, sizes, slots = _batch_windows(texts(batch), memory)
+            found, row, first, sizes, slots, holes = _batch_windows(texts(batch), memory)
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             for view, at, size, values in found:
                 if shared is not None:
@@ -177,10 +183,11 @@ def _windows(rows: DataFrame, only: np.ndarray | None = None) -> DataFrame:
                     at - first[of],
                     sizes[of],
                     [slots(i, n) if view else [] for i, n in zip(at.tolist(), size.tolist())],
+                    [holes(i, n) if view else [] for i, n in zip(at.tolist(), size.tolist())],
                 )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, kind) for x, kind in zip(columns, kinds)],
-                    names=["id", "hash", "view", "pos", "n_tokens", "slots"],
+                    names=["id", "hash", "view", "pos", "n_tokens", "slots", "holes"],
                 )
 
     return map_batches(rows, kernel, f"id long, {_WINDOWS}")
@@ -208,19 +215,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     if found is None:
         return docs.sparkSession.createDataFrame([], f"`{key}` long, item_id long, n_matched int, n_item int, verbatim boolean")
     item = asked.select(
-        "hash", "view", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("n_tokens").alias("n_item"), F.col("slots").alias("item_slots")
+        "hash", "view", F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("n_tokens").alias("n_item"),
+        F.col("slots").alias("item_slots"), F.col("holes").alias("item_holes"),
     )
     if total <= SENT_WINDOWS:
         item = F.broadcast(item)
-    met = found.distinct().join(item, ["hash", "view"])
-    diagonal = met.groupBy("id", "item_id", "view", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+    met = found.drop("holes").distinct().join(item, ["hash", "view"])
+    diagonal = met.groupBy("id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.first("n_item").alias("n_item"),
+        F.array_sort(F.collect_set(F.when(F.col("view") == 0, F.col("item_pos")))).alias("plain"),
         F.array_sort(F.collect_set("item_pos")).alias("places"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("item_holes")))).alias("n_holes"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
     )
     size = F.least(F.lit(WINDOW), F.col("n_item"))
-    covered = F.aggregate(
-        "places",
+    covered = lambda places: F.aggregate(
+        places,
         F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
         lambda s, p: F.struct(p.alias("last"), (s["n"] + F.least(size, p - s["last"])).alias("n")),
         lambda s: s["n"],
@@ -228,10 +238,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     one_to_one = (F.size(F.array_distinct("pairs.item_slots")) == F.size("pairs")) & (
         F.size(F.array_distinct("pairs.slots")) == F.size("pairs")
     )
-    good = diagonal.withColumn("n_matched", covered).where(one_to_one & (F.col("n_matched") >= F.least(F.lit(LEAST_TOKENS), "n_item")))
+    # Word for word, or with placeholders that are consistent and leave enough words.
+    worded = F.col("n_all") - F.col("n_holes") >= F.least(F.lit(LEAST_WORDS), "n_item")
+    counts = diagonal.withColumn("n_plain", covered("plain")).withColumn("n_all", covered("places"))
+    counts = counts.withColumn("n_matched", F.when(one_to_one & worded, F.col("n_all")).otherwise(F.col("n_plain")))
+    least = F.least(F.lit(LEAST_TOKENS), "n_item")
     return (
-        good.groupBy(F.col("id").alias(key), "item_id")
-        .agg(F.max("n_matched").alias("n_matched"), F.max("n_item").alias("n_item"), F.max(F.col("view") == 0).alias("verbatim"))
+        counts.where(F.col("n_matched") >= least)
+        .groupBy(F.col("id").alias(key), "item_id")
+        .agg(F.max("n_matched").alias("n_matched"), F.max("n_item").alias("n_item"), F.max(F.col("n_plain") >= least).alias("verbatim"))
     )
 
 
