@@ -76,6 +76,28 @@ def test_disguised_identifiers_map_back_to_their_source(kind, disguise):
     assert added
 
 
+@pytest.mark.parametrize(
+    "kind, disguise",
+    [
+        ("email", "jоhn@example.com"),
+        ("email", "jo\u200bhn@example.com"),
+        ("email", "john [dot] smith@example.com"),
+        ("email", "john@example.cоm"),
+        ("email", "john (chez) example.com"),
+        ("email", "john [klammeraffe] example.com"),
+        ("email", "john<@>host.com"),
+        ("email", "john( \tat )host.com"),
+        ("email", "john [at] host[ dot ]com"),
+        ("phone", "plus one two one six two one one two six two one"),
+    ],
+)
+def test_the_whole_disguise_is_a_span_and_redacted(kind, disguise):
+    text = f"Write to: {disguise} , please."
+    base, every = pii.spans(text)
+    assert (pii.KINDS.index(kind), 10, 10 + len(disguise)) in every, (base, every)
+    assert pii.redacted(text, every) == f"Write to: <{kind}> , please."
+
+
 @pytest.mark.parametrize(
     "text",
     [

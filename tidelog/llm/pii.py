@@ -95,6 +95,7 @@ _DOT = r"dot|\.|punkt|punto|point"
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 _BRACKETED_AT = re.compile(rf"\s*{_OPEN}\s*(?:{_AT})\s*{_SHUT}\s*", re.I)
 _BRACKETED_DOT = re.compile(rf"\s*{_OPEN}\s*(?:{_DOT})\s*{_SHUT}\s*", re.I)
+_BRACKETED = re.compile(rf"{_OPEN}\s*(?:{_AT}|{_DOT})\s*{_SHUT}", re.I)
 _SPOKEN_DOT = r"\s+dot\s+"
 # Last labels that end an address said in bare words.
 _ENDINGS = "com|net|org|edu|gov|mil|int|info|biz|io|ai|app|dev|co|eu|us|uk|de|fr|es|it|nl|ch|at|be|pt|pl|se|no|dk|fi|ie|ca|au|nz|mx|br|ar|cl|jp|cn|in|ru|example|test|invalid|local|onion"
@@ -111,9 +112,6 @@ _SAID = re.compile(
     rf"(?<!\w)(?:plus[\s-]+|\+\s?)?{_DIGIT}(?:(?:[\s,-]{{1,3}}|\s+(?:dot|point|punkt|punto)\s+){_DIGIT}){{6,}}(?!\w)", re.I
 )
 _SAID_PART = re.compile(rf"plus|\+|dot|point|punkt|punto|(?<!\w){_DIGIT}(?!\w)", re.I)
-_SAID_HINTS = ("zero", "three", "four", "five", "seven", "eight", "nine", "zéro", "quatre", "cinq", "trois", "sept", "null", "drei", "vier", "fünf", "sieben", "neun", "cero", "cuatro", "cinco", "tres", "siete", "nueve")
-_DOT_HINTS = ("dot", "punkt", "punto", "point", "[.]", "(.)", "{.}", "<.>")
-_AT_HINTS = ("(at", "[at", "{at", "<at", "( at", "[ at", "{ at", "(@", "[@", "{@", "arroba", " at ")
 
 
 class _Rewritten:
@@ -185,21 +183,18 @@ def _spoken_changes(text: str) -> list[tuple[int, int, str]]:
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
-    """Identifiers that only the rewritten text shows, apart from ``base`` spans of their kind."""
+    """Identifiers that only the rewritten text shows whole: no ``base`` span of their kind holds them."""
     steps: list = []
     low = text.lower()
     if not text.isascii() and _ODD_CHARACTER.search(text):
         steps.append(lambda t: [(*m.span(), _plain_character(m.group())) for m in _ODD_CHARACTER.finditer(t)])
-    dots, ats = any(h in low for h in _DOT_HINTS), any(h in low for h in _AT_HINTS)
-    if steps or dots or ats:
+    odd = bool(steps)  # what the later steps look for may only show when they are gone
+    if odd or _BRACKETED.search(text):
         steps.append(lambda t: [(*m.span(), "@") for m in _BRACKETED_AT.finditer(t)])
         steps.append(lambda t: [(*m.span(), ".") for m in _BRACKETED_DOT.finditer(t)])
-    if "dot" in low:
+    if odd or "dot" in low:
         steps.append(_spoken_changes)
-    if any(h in low for h in _SAID_HINTS):
-        steps.append(lambda t: [(*m.span(), _said(m)) for m in _SAID.finditer(t)])
-    if not steps:
-        return []
+    steps.append(lambda t: [(*m.span(), _said(m)) for m in _SAID.finditer(t)])
     made = _Rewritten(text)
     changed = False
     for step in steps:
@@ -213,7 +208,7 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
         left, right, new = made.source(start, end)
         if kind == 0 and not made.text[start:end].rpartition(".")[2].isalpha():
             continue  # a rewritten mail address ends in letters
-        if new and not any(k == kind and s < right and left < e for k, s, e in base):
+        if new and not any(k == kind and s <= left and right <= e for k, s, e in base):
             found.append((kind, left, right))
     return found
 
