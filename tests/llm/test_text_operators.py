@@ -413,6 +413,30 @@ def test_rare_words_meet_their_counts(docs, ranks, monkeypatch):
     assert {(r.doc_id, r.n_known, round(r.base_score, 6)) for r in lm_score.score(docs, *ranks).collect()} == whole
 
 
+def test_attention_learns_from_every_window(spark, ranks, monkeypatch):
+    """Each piece of each training text is a target once, and an end follows only the text's last word."""
+    rnd = random.Random(11)
+    bodies = [prose(rnd, n) for n in (3, 40, 200, 900)]
+    seen = []
+    monkeypatch.setattr(lm_score.Steps, "take", lambda self, context, target: seen.append((context, target)))
+    # The kernel runs here, so that what it trains on can be seen.
+    def here(rows, kernel, schema):
+        list(kernel(rows.toArrow().to_batches()))
+        return spark.createDataFrame([], schema)
+
+    monkeypatch.setattr(lm_score, "map_batches", here)
+    rows = spark.createDataFrame([(b,) for b in bodies], "text string").coalesce(1)
+    pieces = lm_score.Pieces(*ranks)
+    model = lm_score.new_model(np.ones(pieces.size), (np.array([5]), np.array([3])))
+    model = model.with_parameters(model.parameters())
+    model.cls[:], model.cls[0] = 0, 1  # the end has a class of its own
+    lm_score._train(rows, model, *ranks)
+    ids, _, size = lm_score._pieces_of(*lm_score._numbers([b.encode().lower().split() for b in bodies], pieces), pieces)
+    targets = np.concatenate([t.ravel() for _, t in seen])
+    assert (targets >= 0).sum() == size.sum() == len(ids)
+    assert (targets == 1).sum() == len(bodies)
+
+
 def test_attention_gradients_are_those_of_the_loss():
     rnd = np.random.default_rng(0)
     model = lm_score.new_model(rnd.integers(1, 50, 3000).astype(float), (np.array([5, 1 << 32 | 7]), np.array([3, 4])))
