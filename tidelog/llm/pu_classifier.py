@@ -4,7 +4,7 @@ Trusted positives and unlabelled web text are enough: with class prior p and a l
 bounded to 0..1, the risk is p R+(pos) + max(0, R-(unl) - p R-(pos)).  Where the
 estimate of the negatives' risk falls below zero, a step goes against its gradient
 instead, so that the model doesn't learn the unlabelled rows by heart.  The model is
-a linear one over measurements of the text and hashed character runs; the class prior is
+a linear one over measurements of the text and hashed character classes of word ends; the class prior is
 estimated from the labels of the training fold.
 """
 
@@ -68,7 +68,7 @@ def _measures(text: str) -> np.ndarray:
 
 
 def features(text: str) -> np.ndarray:
-    """Measurements, then the shares of hashed word beginnings and endings."""
+    """Measurements, then the shares of words by the hashed classes (letter, digit, sign) of their last three characters."""
     hashed = np.zeros(BUCKETS)
     words = _WORD.findall(text)
     counts: dict[str, int] = {}
