@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import byte_bpe, decontaminate, licenses, lm_score, pii, pu_classifier, quality_rules, repeats, simhash, warc
+from tidelog.llm import (
+    byte_bpe,
+    decontaminate,
+    importance,
+    licenses,
+    lm_score,
+    pii,
+    pu_classifier,
+    quality_rules,
+    repeats,
+    simhash,
+    spelling,
+    warc,
+)
 from tidelog.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,3 +228,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     written = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", written.alias("fingerprint"), "component_id")
+
+
+@query
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
