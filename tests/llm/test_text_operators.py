@@ -413,28 +413,69 @@ def test_rare_words_meet_their_counts(docs, ranks, monkeypatch):
     assert {(r.doc_id, r.n_known, round(r.base_score, 6)) for r in lm_score.score(docs, *ranks).collect()} == whole
 
 
+def test_rare_pairs_meet_their_counts(docs, ranks, monkeypatch):
+    whole = sorted((r.doc_id, round(r.score, 3)) for r in lm_score.score(docs, *ranks).collect())
+    monkeypatch.setattr(lm_score, "PAIRS", 20)
+    assert sorted((r.doc_id, round(r.score, 3)) for r in lm_score.score(docs, *ranks).collect()) == whole
+
+
+def test_scores_do_not_depend_on_partitions(docs, ranks, monkeypatch):
+    monkeypatch.setattr(lm_score, "SHARD_WORDS", 900)
+    monkeypatch.setattr(lm_score, "STEP_WINDOWS", 64)
+    one = sorted((r.doc_id, r.score) for r in lm_score.score(docs.coalesce(1), *ranks).collect())
+    many = sorted((r.doc_id, r.score) for r in lm_score.score(docs.repartition(8, "text"), *ranks).collect())
+    assert [k for k, _ in one] == [k for k, _ in many]
+    assert [x for _, x in one] == pytest.approx([x for _, x in many], rel=1e-5)
+
+
 def test_attention_learns_from_every_window(spark, ranks, monkeypatch):
     """Each piece of each training text is a target once, and an end follows only the text's last word."""
     rnd = random.Random(11)
-    bodies = [prose(rnd, n) for n in (3, 40, 200, 900)]
+    bodies = [prose(rnd, n) for n in (3, 40, 200, 900)] + [""]
     seen = []
-    monkeypatch.setattr(lm_score.Steps, "take", lambda self, context, target: seen.append((context, target)))
+    monkeypatch.setattr(lm_score.Steps, "_step", lambda self, context, target: seen.append((context, target)))
+    monkeypatch.setattr(lm_score, "STEP_WINDOWS", 50)
     # The kernel runs here, so that what it trains on can be seen.
     def here(rows, kernel, schema):
-        list(kernel(rows.toArrow().to_batches()))
+        list(kernel(rows.toArrow().to_batches(max_chunksize=2)))
         return spark.createDataFrame([], schema)
 
     monkeypatch.setattr(lm_score, "map_batches", here)
-    rows = spark.createDataFrame([(b,) for b in bodies], "text string").coalesce(1)
+    rows = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
     pieces = lm_score.Pieces(*ranks)
     model = lm_score.new_model(np.ones(pieces.size), (np.array([5]), np.array([3])))
     model = model.with_parameters(model.parameters())
     model.cls[:], model.cls[0] = 0, 1  # the end has a class of its own
-    lm_score._train(rows, model, *ranks)
-    ids, _, size = lm_score._pieces_of(*lm_score._numbers([b.encode().lower().split() for b in bodies], pieces), pieces)
+    lm_score._train(rows, 1, model, *ranks)
+    numbers, words = pieces.numbers([b.encode().lower().split() for b in bodies])
     targets = np.concatenate([t.ravel() for _, t in seen])
-    assert (targets >= 0).sum() == size.sum() == len(ids)
+    assert (targets >= 0).sum() == pieces.sizes(numbers, words).sum() == len(pieces.places(numbers))
     assert (targets == 1).sum() == len(bodies)
+    assert {len(t) for _, t in seen[:-1]} == {50}
+
+
+def test_attention_scores_equal_a_slow_loop():
+    """Place by place, key by key, without tables, windows or batches."""
+    rnd = np.random.default_rng(5)
+    model = lm_score.new_model(rnd.integers(1, 50, 700).astype(float), (np.array([5]), np.array([3])))
+    model = model.with_parameters([(p + 0.2 * rnd.standard_normal(p.shape)).astype(np.float64) for p in model.parameters()])
+    size = np.array([1, 7, 8, 9, 40, 16])
+    ids = rnd.integers(0, 700, size.sum()).astype(np.int32)
+    got, half = lm_score.attention_scores(lm_score.Tables(model), ids, size), lm_score.WINDOW // 2
+    first = 0
+    for n in size:
+        row, cls = model.row[ids[first : first + n]], model.cls[ids[first : first + n]]
+        for t in range(n):
+            begin = max(0, t // half * half - half)
+            hidden = np.zeros(lm_score.WIDTH)
+            if t > 0:
+                q = model.embed[row[t - 1]] @ model.query
+                score = [q @ (model.embed[row[j]] @ model.key) / np.sqrt(lm_score.WIDTH) + model.place[t - 1 - j] for j in range(begin, t)]
+                weight = np.exp(score) / np.exp(score).sum()
+                hidden = sum(w * (model.embed[row[j]] @ model.value) for w, j in zip(weight, range(begin, t))) + model.embed[row[t - 1]]
+            logits = hidden @ model.out + model.bias
+            assert got[first + t] == pytest.approx(logits[cls[t]] - np.log(np.exp(logits).sum()), rel=1e-6)
+        first += n
 
 
 def test_attention_gradients_are_those_of_the_loss():
@@ -469,7 +510,8 @@ def test_every_piece_is_scored_once_and_sums_to_one():
     for last in range(40):
         ids = np.array([*history, last], np.int32)
         before = np.array([0, 7, 3], np.int32)
-        total += np.exp(lm_score.piece_scores(model, ids, before, np.array([3]))[-1])
+        scores = model.in_class(ids, before)[0] + lm_score.attention_scores(lm_score.Tables(model), ids, np.array([3]))
+        total += np.exp(scores[-1])
     assert total == pytest.approx(1.0, abs=1e-4)
 
 

@@ -13,6 +13,7 @@ from tidelog.llm import (
     importance,
     licenses,
     lm_score,
+    minhash,
     pii,
     pu_classifier,
     quality_rules,
@@ -230,6 +231,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", written.alias("fingerprint"), "component_id")
 
 
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 @query
 def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
