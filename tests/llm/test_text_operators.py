@@ -144,50 +144,33 @@ def test_chains_of_links_are_one_component(spark):
     assert simhash.components(links.limit(0)).count() == 0
 
 
-def test_one_of_each_group_of_near_copies_stays(docs, corpus):
-    kept = sorted(r.doc_id for r in simhash.keep_one(docs).collect())
-    gone = {3, 21, 66}  # copies of 2 and 20, and a near copy of 20
-    blank = {61}  # the empty text and null are equal
-    assert kept == sorted({i for i, *_ in corpus} - gone - blank)
-
-
-def shingle_sets(texts):
-    split = [t.split() for t in texts]
-    return [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in split]
-
-
-def test_copies_meet_their_original_whatever_its_id(spark, monkeypatch):
-    """Edited copies are near the original but not each other; a bucket takes several tiles."""
-    rnd = random.Random(8)
-    original = [f"w{rnd.randrange(10_000)}" for _ in range(304)]
-    texts = []
-    for k in range(120):
-        words = list(original)
-        if k != 60:
-            for at in rnd.sample(range(60), 6):
-                words[5 * at] = f"edit{k}x{at}"
-        texts.append(" ".join(words))
-    monkeypatch.setattr(simhash, "COPY_TILE", 16)
-    sets = shingle_sets(texts)
-    links = [(a, b) for a in range(120) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    assert len(links) < 600  # few beside those to the original
-    label = components(120, links)
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {r.id: r.component for r in simhash.copies(frame).collect()}
-    # A pair meets in no bucket once in some hundred times.
-    assert sum(found.get(k, k) != label[k] for k in range(120)) <= 3
-    assert len({r.doc_id for r in simhash.keep_one(frame).collect()}) <= len(set(label)) + 3
-
-
-def test_near_copies_do_not_count_repeats(spark):
-    """The same set of shingles, some of them repeated: one group."""
-    rnd = random.Random(4)
-    texts = []
-    for k in range(12):
-        body = " ".join(f"w{rnd.randrange(10_000)}" for _ in range(200))
-        texts += [body + f" again{k}" * n for n in (8, 180)]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert sorted(r.doc_id for r in simhash.keep_one(frame).collect()) == list(range(0, 24, 2))
+def test_one_of_each_group_of_near_copies_stays(docs, corpus, empty):
+    marks = [fingerprint(t, 3) for _, t, *_ in corpus]
+    n = len(corpus)
+    label = components(n, [(a, b) for a in range(n) for b in range(a) if bin(marks[a] ^ marks[b]).count("1") <= 3])
+    wanted = sorted({min(corpus[j][0] for j in range(n) if label[j] == label[k]) for k in range(n)})
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == wanted
+    assert simhash.keep_one(empty).count() == 0
+
+
+def test_kept_rows_keep_clashing_columns_and_their_own_texts(spark):
+    rnd = random.Random(3)
+    texts = [prose(rnd, 60) for _ in range(4)]
+    # Key 5 has two different texts, key 7 a copy of one of them; key 8 comes twice.
+    rows = [(5, texts[0], 1), (5, texts[1], 2), (7, texts[1], 3), (8, texts[2], 4), (8, texts[2], 4), (None, texts[0], 5), (None, None, 6), (9, texts[2] + "x", 7)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    for name in ("id", "digest", "nth", "_spare", "_nth", "_leaked", "fingerprint", "group", "component", "node"):
+        frame = frame.withColumn(name, F.col("row"))
+    found = simhash.keep_one(frame)
+    assert found.columns == frame.columns
+    assert sorted(r.row for r in found.collect() if r.row != 7) == [1, 2, 4, 5, 6]
+    assert all(r["_nth"] == r["group"] == r["digest"] == r["row"] for r in found.collect())
+    marked = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(40 * k, 40 * k + 40))) for k in range(3)], "item_id long, text string")
+    leaking = frame.withColumn("leaked_key", F.lit(1)).withColumn("row_key", F.lit(2))
+    assert decontaminate.remove(leaking, marked).count() == len(rows)
+    assert decontaminate.remove(leaking, marked).columns == leaking.columns
 
 
 # -- decontamination -------------------------------------------------------------
@@ -546,7 +529,29 @@ def test_pipeline_stages(spark, tmp_path, corpus, ranks):
     spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     ids = {r.doc_id for r in rows}
-    assert 30 not in ids and not ids & {3, 21, 66, 67, 68, 60, 61} and {0, 2, 20} <= ids
+    good = sorted({(r.doc_id, r.text) for r in quality_rules.keep_good(spark.createDataFrame(corpus, SCHEMA)).collect()})
+    marks = [fingerprint(t, 3) for _, t in good]
+    n = len(good)
+    label = components(n, [(a, b) for a in range(n) for b in range(a) if bin(marks[a] ^ marks[b]).count("1") <= 3])
+    assert ids == {good[k][0] for k in range(n) if label[k] == k} - {30}
+    assert 3 not in ids and {0, 2, 20} <= ids
     assert len(rows) == len(ids)
     for r in rows:
         assert hashlib.sha256(r.text.encode()).digest() and r.n_tokens == len(r.token_ids) > 0
+
+
+def test_pipeline_keeps_other_columns_and_passes_empty_tables(spark, tmp_path, corpus, ranks):
+    import corpus_pipeline
+
+    clash = spark.createDataFrame(corpus[:20], SCHEMA)
+    for name in ("_leaked", "_spare", "_nth", "nth", "digest", "id", "row_key", "_row", "_text", "failures", "group"):
+        clash = clash.withColumn(name, F.lit("extra"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for folder, frame in (("clash", clash), ("none", clash.limit(0))):
+        docs = frame
+        for name, stage in corpus_pipeline.STAGES:
+            before, path = docs.columns, str(tmp_path / folder / name)
+            stage(spark, docs, str(tmp_path)).write.parquet(path)
+            docs = spark.read.parquet(path)
+            assert docs.columns[: len(before)] == before, name
+        assert docs.count() == 0 if folder == "none" else docs.count() > 10

@@ -251,6 +251,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The documents without a benchmark passage; rows without a key stay."""
-    leaked = stored(matches(docs, benchmark, text, key).select(key).distinct(), "leaked")
-    return docs.join(leaked.select(F.col(key).alias("_leaked")), docs[key] == F.col("_leaked"), "left_anti")
+    """The documents without a benchmark passage.
+
+    Rows without a key stay; rows of one key go together.  All columns are kept, whatever their
+    names.  An empty table gives no rows; an empty benchmark leaves all.
+    """
+    leaked = stored(matches(docs, benchmark, text, key).select(F.col(key).alias("leaked_key")).distinct(), "leaked")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("row_key"))
+    return rows.join(leaked, F.col("row_key") == F.col("leaked_key"), "left_anti").select("row.*")

@@ -109,35 +109,34 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_oracle() -> str:
-    values = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))
+    vectors = ", ".join(f"('{t}', {k}, '{name}', {w!r})" for t, k, name, w in licenses.vectors())
+    idf, other = licenses.weights()
+    weights = ", ".join(f"('{t}', {w!r})" for t, w in sorted(idf.items()))
     return rf"""
-WITH tt AS (
-  SELECT k, lic, unnest(regexp_extract_all(txt, '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS term FROM (VALUES {values}) AS v(k, lic, txt)
-), idf AS (
-  SELECT term, ln((1 + {len(licenses.TEMPLATES)}) / (1 + count(DISTINCT k))) + 1 AS w FROM tt GROUP BY term
-), tv AS (
-  SELECT k, lic, term, count(*) * any_value(w) AS w FROM tt JOIN idf USING (term) GROUP BY k, lic, term
-), tn AS (
-  SELECT k, lic, term, w / sqrt(sum(w * w) OVER (PARTITION BY k)) AS w FROM tv
-), d AS (
+WITH tv(term, k, lic, w) AS (VALUES {vectors}), idf(term, w) AS (VALUES {weights}), d AS (
   SELECT doc_id, '/' || source || '/' || (doc_id // 4096) || '/' || (doc_id // 64) || '/' || doc_id AS path, coalesce(text, '') AS x FROM documents
-), h AS (
-  SELECT path, x, array_to_string(list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '(?i)licen[sc]e|spdx|copyright|rights reserved|creative commons|public domain|redistribution')), ' ') AS head FROM d
+), p AS (
+  SELECT path, list_concat(list_concat([x],
+    list_filter(string_split(regexp_replace(x, '{licenses.SENTENCE_END}', '' || chr(10), 'g'), chr(10)), lambda l: regexp_matches(l, '{licenses.HINT}'))),
+    list_filter(string_split(regexp_replace(x, '{licenses.BLOCK_END}', chr(1), 'g'), chr(1)), lambda l: regexp_matches(l, '{licenses.HINT}'))) AS ps
+  FROM d WHERE regexp_matches(x, '{licenses.HINT}')
+), q AS (
+  SELECT path, unnest(range(len(ps))) AS piece, unnest(ps) AS said FROM p
 ), ht AS (
-  SELECT path, len(regexp_extract_all(head, '\S+')) >= 0.5 * len(regexp_extract_all(x, '\S+')) AS is_file,
-         unnest(regexp_extract_all(lower(head), '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS term FROM h WHERE head <> ''
+  SELECT path, piece, unnest(regexp_extract_all(lower(said), '{licenses.TERM}')) AS term FROM q
 ), hw AS (
-  SELECT path, is_file, ht.term, count(*) * coalesce(any_value(w), ln(1 + {len(licenses.TEMPLATES)}) + 1) AS w
-  FROM ht LEFT JOIN idf USING (term) GROUP BY path, is_file, ht.term
+  SELECT path, piece, ht.term, count(*) * coalesce(any_value(w), {other!r}) AS w FROM ht LEFT JOIN idf USING (term) GROUP BY path, piece, ht.term
 ), hn AS (
-  SELECT path, is_file, sqrt(sum(w * w)) AS n FROM hw GROUP BY path, is_file
+  SELECT path, piece, sqrt(sum(w * w)) AS n FROM hw GROUP BY path, piece
 ), sc AS (
-  SELECT hw.path, k, lic, round(sum(hw.w * tn.w) / any_value(n), 6) AS s, any_value(hn.is_file) AS is_file
-  FROM hw JOIN tn USING (term) JOIN hn USING (path) GROUP BY hw.path, k, lic
-), own AS (
-  SELECT path, lic, s, is_file FROM sc QUALIFY row_number() OVER (PARTITION BY path ORDER BY s DESC, k) = 1
+  SELECT hw.path, hw.piece, k, lic, round(sum(hw.w * tv.w) / any_value(n), 6) AS s
+  FROM hw JOIN tv USING (term) JOIN hn ON hw.path = hn.path AND hw.piece = hn.piece GROUP BY hw.path, hw.piece, k, lic
+), best AS (
+  SELECT path, lic, s, max(CASE WHEN piece = 0 THEN s END) OVER (PARTITION BY path) AS whole
+  FROM sc WHERE s >= {licenses.LEAST_SIMILARITY}
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY lic = '{licenses.NO_LICENCE}', s DESC, k) = 1
 ), o AS (
-  SELECT * FROM own WHERE s >= 0.5
+  SELECT path, lic, s, coalesce(whole, 0) >= {licenses.FILE_SIMILARITY} AS is_file FROM best
 ), held AS (
   SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, lic FROM o WHERE is_file
   QUALIFY row_number() OVER (PARTITION BY regexp_extract(path, '^(.*)/[^/]*$', 1) ORDER BY s DESC, path) = 1

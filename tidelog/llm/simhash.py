@@ -201,184 +201,51 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, text: str
     )
 
 
-# --- Near copies by similarity -------------------------------------------------
-
-#: Shingle size and similarity at which two texts count as near copies.
-COPY_WORDS, COPY_SIMILARITY = 5, 0.8
-#: Smallest shingle hashes under several orders, in bands: two texts of similarity 0.8 miss
-#: each other in all bands once in 600 times, and those of 0.9 once in 10 million.
-BANDS, BAND_ROWS = 16, 5
-#: Texts of a tile of a bucket, and shingles of its texts.
-COPY_TILE, COPY_TILE_SHINGLES = 128, 1 << 18
-
-_MIX = np.array([random.Random(5000 + k).getrandbits(64) | 1 for k in range(BANDS * BAND_ROWS)], np.uint64)
-
-
-def _scrambled(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    return x ^ (x >> np.uint64(27))
-
-
-def _band_keys(hashes: np.ndarray) -> np.ndarray:
-    lowest = np.full(len(_MIX), np.iinfo(np.uint64).max)
-    for k in range(0, len(hashes), 20_000):
-        some = hashes[k : k + 20_000]
-        for m in range(len(_MIX)):
-            lowest[m] = min(lowest[m], _scrambled(some * _MIX[m]).min())
-    keys = np.zeros(BANDS, np.uint64)
-    for row in lowest.reshape(BANDS, BAND_ROWS).T:
-        keys = _scrambled((keys ^ row) * np.uint64(0x9E3779B97F4A7C15))
-    return keys + np.arange(BANDS, dtype=np.uint64)
+def keep_one(docs: DataFrame, words: int = 3, radius: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each group of rows whose fingerprints links join: that with the smallest key; the others go.
+
+    Links are those of :func:`near_duplicates`.  Rows of one key are told apart by their texts: each
+    is in the group of its own fingerprint, and where several of a group share its smallest key the one with
+    the smallest digest of its text stays.  Equal rows leave one; of rows with equal key and text but other columns one stays, that which is
+    smallest in its columns as JSON.  Rows without a key stay.  All columns are kept, whatever
+    their names.  An empty table gives no rows.
+    """
+    said = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    # The row travels as one column, so no name of its own meets one of ours.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{key}`").cast("long").alias("id"),
+        F.unhex(F.sha2(said, 256)).alias("digest"),
+    )
+    once = rows.where("id is not null").withColumn(
+        "nth", F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.to_json("row")))
+    )
+    once = once.where("nth = 1").drop("nth")
+    marks = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).where("id is not null")
+    marks = stored(_digests(marks, words), "marks")
+    values = stored(marks.select(F.col("fingerprint").alias("node"), "fingerprint").distinct(), "values")
+    joined = components(fingerprint_links(values, radius)).withColumnRenamed("node", "fingerprint")
+    placed = marks.join(joined, "fingerprint", "left").withColumn("group", F.coalesce("component", "fingerprint"))
+    heads = placed.groupBy("group").agg(F.min(F.struct("id", "digest")).alias("x"))
+    kept = heads.select("x.id", "x.digest")
+    single = once.join(stored(kept, "kept").hint("merge"), ["id", "digest"], "left_semi")
+    return single.select("row.*").unionByName(rows.where("id is null").select("row.*"))
 
 
-def _sketches(docs: DataFrame) -> DataFrame:
-    """``id``, digest of the text, number of distinct shingles and band keys (none for a text without words)."""
+def _digests(rows: DataFrame, words: int) -> DataFrame:
+    """``id``, ``fingerprint`` and SHA-256 ``digest`` of the text of each row of ``id``, ``text``."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digest, size, keys = [], [], []
-            for raw in raw_texts(batch):
-                hashes = np.unique(_shingle_hashes(raw.lower().split(), COPY_WORDS))
-                digest.append(hashlib.sha256(raw).digest()[:16])
-                size.append(len(hashes))
-                keys.append(_band_keys(hashes).view(np.int64).tolist() if len(hashes) else [])
+            raws = raw_texts(batch)
+            found = [_fingerprint(_shingle_hashes(x.lower().split(), words)) for x in raws]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
-                    pa.array(digest, pa.binary()),
-                    pa.array(size, pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(np.array(found, np.uint64).view(np.int64)),
+                    pa.array([hashlib.sha256(x).digest() for x in raws], pa.binary()),
                 ],
-                names=["id", "digest", "size", "keys"],
+                names=["id", "fingerprint", "digest"],
             )
 
-    return map_batches(docs, kernel, "id long, digest binary, size long, keys array<long>")
-
-
-def _shingle_sets(docs: DataFrame) -> DataFrame:
-    """``id`` and the distinct shingle hashes of each row."""
-
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(_shingle_hashes(x.lower().split(), COPY_WORDS)).view(np.int64) for x in raw_texts(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"]
-            )
-
-    return map_batches(docs, kernel, "id long, shingles array<long>")
-
-
-def _alike(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Positions i < j of the sets (of distinct values) whose similarity is ``COPY_SIMILARITY`` or more."""
-    n, size = len(sets), np.fromiter(map(len, sets), np.int64, len(sets))
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
-    column = np.cumsum(np.r_[True, flat[1:] != flat[:-1]]) - 1
-    often = np.bincount(column)[column] > 1  # a value of one set is in no intersection
-    column, owner = np.unique(column[often], return_inverse=True)[1], owner[often]
-    both, step = np.zeros((n, n)), 4096
-    for k in range(0, int(column[-1]) + 1 if len(column) else 0, step):
-        start, stop = np.searchsorted(column, [k, k + step])
-        there = np.zeros((n, step), np.float32)
-        there[owner[start:stop], column[start:stop] - k] = 1
-        both += there @ there.T
-    return np.nonzero(np.triu(both >= COPY_SIMILARITY * (size[:, None] + size[None, :] - both), 1))
-
-
-def _bucket_links(shared: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` of all pairs of a bucket that the components so far leave apart, from their whole shingle sets.
-
-    A bucket is held by its smallest text's component; the others in it have to meet all.
-    Both sides are cut into tiles, and each pair of tiles with others in it is compared in one
-    piece; a group of n linked texts gives n - 1 links there.
-    """
-    known = joined.select("node", F.col("component").alias("held"))
-    placed = stored(
-        shared.select("key", "node", "size").join(known, "node", "left").withColumn("held", F.coalesce("held", "node")), "placed"
-    )
-    open_ = placed.groupBy("key").agg(F.min("held").alias("least"), F.max("held").alias("most"), F.min_by("held", "node").alias("top"))
-    sides = placed.join(open_.where("least <> most").select("key", "top"), "key").withColumn("other", F.col("held") != F.col("top"))
-    sides = stored(sides.select("key", "node", "size", "other"), "sides")
-    tiles = lambda of: F.ceil(
-        F.greatest(F.count_if(of) / COPY_TILE, F.sum(F.when(of, F.col("size"))) / COPY_TILE_SHINGLES)
-    ).cast("int")
-    # Buckets of the same texts are compared once.
-    buckets = sides.groupBy("key").agg(
-        F.bit_xor(F.xxhash64("node")).alias("one"),
-        F.bit_xor(F.xxhash64("node", F.lit(7))).alias("two"),
-        tiles(F.col("other")).alias("others"),
-        tiles(~F.col("other")).alias("held"),
-    )
-    buckets = buckets.groupBy("one", "two").agg(F.min(F.struct("key", "others", "held")).alias("x")).select("x.*")
-    own = lambda n: F.pmod(F.xxhash64("node", F.lit(7)), F.col(n)).cast("int")
-    cells = (
-        sides.join(buckets, "key")
-        .withColumn("own", F.when(F.col("other"), own("others")).otherwise(F.col("others") + own("held")))
-        .withColumn("last", F.col("others") - 1 + F.when(F.col("other"), F.col("held")).otherwise(0))
-        .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("last"))))
-        .select("node", F.xxhash64("key", F.least("own", "to"), F.greatest("own", "to")).alias("cell"))
-    )
-    dealt = cells.join(sets.withColumnRenamed("id", "node"), "node").select("cell", "node", "shingles")
-    dealt = dealt.repartition("cell").sortWithinPartitions("cell", "node")
-
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell, node, shingles in _runs(batches):
-            edges = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
-            a, b = [], []
-            for s, e in zip(edges[:-1], edges[1:]):
-                label = _forest(e - s, *_alike(list(shingles[s:e])))
-                linked = np.flatnonzero(label != np.arange(e - s))
-                a.append(node[s + label[linked]])
-                b.append(node[s + linked])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-    return map_batches(dealt, kernel, "a long, b long")
-
-
-def copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``id`` and ``component`` of every row of a group of copies or near copies (five words, 0.8).
-
-    Equal texts are one node.  Other texts meet in the buckets of their band keys, and whole
-    shingle sets decide: first against the smallest text of each bucket, then between
-    all texts of a bucket that are not in one component by then.
-    """
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    marks = stored(_sketches(rows), "sketches")
-    nodes = marks.where("id is not null").groupBy("digest").agg(
-        F.min("id").alias("node"), F.first("size").alias("size"), F.first("keys").alias("keys")
-    )
-    nodes = stored(nodes, "texts")
-    keys = nodes.select("node", "size", F.explode("keys").alias("key"))
-    tops = keys.groupBy("key").agg(F.min("node").alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stored(keys.join(tops, "key"), "shared")
-    pairs = stored(shared.where("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    wanted = shared.select(F.col("node").alias("id")).distinct()
-    sets = stored(_shingle_sets(rows.join(wanted.hint("merge"), "id", "left_semi")).dropDuplicates(["id"]), "shingles")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"
-    )
-    met = F.size(F.array_intersect("sa", "sb"))
-    alike = met >= COPY_SIMILARITY * (F.size("sa") + F.size("sb") - met)
-    joined = components(both.where(alike).select("a", "b"))
-    more = stored(_bucket_links(shared, joined, sets), "more")
-    if not more.isEmpty():
-        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    groups = nodes.select("digest", "node").join(joined, "node", "left")
-    found = marks.select("id", "digest").join(groups, "digest")
-    return found.select("id", F.coalesce("component", "node").alias("component")).where("id <> component or component is not null")
-
-
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each group of copies and near copies: that with the smallest key; others go.
-
-    Rows without a key stay; of rows with the same key one stays.
-    """
-    found = stored(copies(docs, text, key), "groups")
-    spare = found.where("id <> component").select(F.col("id").alias("_spare")).distinct()
-    # Texts are dealt by key once, whatever the sizes: anti join and row numbers share the exchange.
-    keyed = docs.where(docs[key].isNotNull())
-    rest = keyed.join(spare.hint("merge"), keyed[key] == F.col("_spare"), "left_anti")
-    first = rest.withColumn("_nth", F.row_number().over(Window.partitionBy(key).orderBy(key)))
-    single = first.where("_nth = 1").drop("_nth")
-    return single.unionByName(docs.where(docs[key].isNull()))
+    return map_batches(rows, kernel, "id long, fingerprint long, digest binary")
