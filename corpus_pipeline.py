@@ -1,7 +1,11 @@
 """Corpus preparation: documents through the text operators, stage by stage.
 
 Every stage reads all that its predecessor kept, as a written table, and all but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``, whatever their names.  A null text is the empty text.
+Rows without an id go only by what their own text says: the quality rules and the benchmark
+stage decide by text or keep them, the near-copy stage keeps them.  Of equal rows, and of equal texts with
+one id, the near-copy stage leaves one; different texts with one id are different documents to it, and
+go together in the benchmark stage.  Texts are read whole.  An empty table passes through empty.
 """
 
 from __future__ import annotations
@@ -19,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of copies and near copies."""
-    return simhash.keep_one(docs)
+    """Keeps the document with the smallest id of each group that near fingerprints link (three words, three bits)."""
+    return simhash.keep_one(docs, words=3, radius=3)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
