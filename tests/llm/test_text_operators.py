@@ -229,6 +229,53 @@ def test_one_changed_value_at_any_place_is_found(spark):
     assert all(r.n_matched == r.n_item for r in found)
 
 
+FRAMES = [
+    # name, number, unit and the words around them; each part is changed in turn.
+    ("{name} sold clips to {n} of her friends in April and then she sold half as many clips in May", ["Natalia", "Marissa"], ["48", "52", "seven"], None),
+    ("{name} has {n} red apples and buys {m} more at the market before going home with {name} again", ["Alice", "Bob"], ["3", "five"], ["5", "nine"]),
+    ("In the town {name} walks {n} miles each day and rests for {m} hours under the old oak tree", ["Tom", "Emma"], ["12", "four"], ["2", "six"]),
+    ("{n} Freunde kaufen {m} Karten für das Konzert und teilen sich danach die Kosten ganz gerecht auf", None, ["Drei", "Fünf"], ["zwei", "sieben"]),
+    ("{name} achète {n} pommes et {m} poires au marché puis rentre à la maison avec son panier plein", ["Marie", "Lucie"], ["deux", "huit"], ["quatre", "trente"]),
+    ("{name} compra {n} libros y {m} cuadernos en la tienda y luego vuelve a casa con su hermana", ["Carlos", "Diego"], ["cuatro", "quince"], ["dos", "20"]),
+]
+
+
+def test_other_names_and_numbers_in_four_languages(spark):
+    items, rows, wanted = [], [], set()
+    for k, (frame, names, ns, ms) in enumerate(FRAMES):
+        fill = lambda i, j, m, frame=frame, names=names, ns=ns, ms=ms: frame.format(
+            name=names[i] if names else "", n=ns[j], m=ms[m] if ms else ""
+        )
+        items.append((k, fill(0, 0, 0)))
+        for i in range(2 if names else 1):
+            for j in range(len(ns)):
+                for m in range(2 if ms else 1):
+                    for before in ("", "He read it aloud. ", "and so "):
+                        rows.append((len(rows), before + fill(i, j, m) + " so they say"))
+                        wanted.add((rows[-1][0], k))
+    # Other words in place of the names and numbers are other texts.
+    for k, (frame, *_) in enumerate(FRAMES):
+        words = frame.split()
+        rows.append((len(rows), " ".join(w if at % 4 else f"other{at}" for at, w in enumerate(words))))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == wanted
+
+
+def test_one_changed_name_at_any_place_is_found(spark):
+    rnd = random.Random(9)
+    items, rows = [], []
+    for n in (9, 13, 20):
+        for place in range(n):
+            words = [f"{rnd.choice(WORDS)}{''.join(rnd.choice('bcdfg') for _ in range(4))}" for _ in range(n)]
+            k = len(items)
+            items.append((k, " ".join([*words[:place], "Natalia", *words[place + 1 :]])))
+            rows.append((k, "Alpha beta. " + " ".join([*words[:place], "Marissa", *words[place + 1 :]]) + " gamma delta"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k, k) for k, _ in rows}
+
+
 # -- quality ---------------------------------------------------------------------
 
 

@@ -7,8 +7,9 @@ one diagonal form a match if the slots are consistent: each value of the item st
 for one value of the document, and the other way round.
 
 A second view of the same tokens has no placeholders, only lower-case words.  It finds
-word-for-word passages whose capitals or digits are set differently.  Windows of both
-views on one diagonal add up to one match.
+word-for-word passages whose capitals or digits are set differently.  A third one takes
+capitalised words that open a sentence for names as well: "Anna has" and "Bob has" are one template.
+Windows of all views on one diagonal add up to one match.
 """
 
 from __future__ import annotations
@@ -36,17 +37,27 @@ SENT_WINDOWS = 50_000
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[.!?:\n]")
 #: Marks of a token.
 _STOP, _NUMBER, _UNIT, _CAPITAL = 1, 2, 4, 8
-# Units, and numbers as words.
+# Units, and numbers as words, in English, French, German and Spanish. Words with a
+# common other sense (cent, once, null) are left out of the numbers.
 _UNITS = frozenset(
     "km m cm mm kg g mg t l ml s ms min h hour hours minute minutes second seconds day days week weeks month months year years "
     "mile miles foot feet inch inches pound pounds ounce ounces gallon gallons litre litres liter liters metre metres meter meters "
-    "dollar dollars euro euros cent cents percent degree degrees stunde stunden tag tage jahr jahre heure heures jour jours an ans "
-    "hora horas dia dias año años".split()
+    "dollar dollars euro euros cent cents percent degree degrees "
+    "heure heures seconde secondes jour jours semaine semaines mois an ans mètre mètres gramme grammes livre livres centime centimes "
+    "stunde stunden sekunde sekunden tag tage woche wochen monat monate jahr jahre pfund gramm "
+    "hora horas minuto minutos segundo segundos día días dia dias semana semanas mes meses año años metro metros litro litros "
+    "gramo gramos dólar dólares céntimo céntimos".split()
 )
 _NUMBERS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
-    "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split()
-)
+    "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million "
+    "zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante "
+    "cent mille "
+    "null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn "
+    "zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend "
+    "cero dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis diecisiete dieciocho "
+    "diecinueve veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien ciento mil".split()
+) - {"cent", "once", "null"}
 _MULTIPLIERS = np.array([xxh64_intdigest(f"place {k}") | 1 for k in range(WINDOW)], np.uint64)
 
 
@@ -101,9 +112,9 @@ def _hash_windows(each: np.ndarray, size: int) -> np.ndarray:
 
 
 def _batch_windows(bodies: list[str], memory: _Tokens):
-    """For both views: its number and the place, size, hash of each window; then rows, row starts and sizes, a slot and a hole getter.
+    """For each view: its number and the place, size, hash of each window; then rows, row starts and sizes, a slot and a hole getter.
 
-    Windows without a placeholder are the same in both views and come in the plain one only.
+    Windows that are the same in two views come in the earlier one only.
     """
     split = [_TOKEN.findall(x) for x in bodies]
     memory.learn(set().union(*split) if split else set())
@@ -113,32 +124,34 @@ def _batch_windows(bodies: list[str], memory: _Tokens):
     mark = memory.mark[ids]
     fresh = np.r_[True, row[1:] != row[:-1]] if len(row) else np.empty(0, bool)
     open_ = ~fresh & ~np.r_[True, (mark[:-1] & _STOP) > 0][: len(mark)]  # inside a sentence
-    name = ((mark & _CAPITAL) > 0) & open_
+    capital = (mark & _CAPITAL) > 0
     stay = (mark & _STOP) == 0
-    ids, row, mark, name = ids[stay], row[stay], mark[stay], name[stay]
+    ids, row, mark, capital, open_ = ids[stay], row[stay], mark[stay], capital[stay], open_[stay]
     number = (mark & _NUMBER) > 0
     same = np.r_[False, row[1:] == row[:-1]][: len(row)]
     unit = ((mark & _UNIT) > 0) & same & np.r_[False, number[:-1]][: len(row)] & ~number
-    name &= ~number & ~unit
-    filled = number | unit | name
+    capital &= ~number & ~unit
+    opening = capital & ~open_
     plain = memory.hash[ids]
     template = plain.copy()
-    for which, kind in ((number, "number"), (unit, "unit"), (name, "name")):
+    for which, kind in ((number, "number"), (unit, "unit"), (capital & open_, "name")):
         template[which] = _KINDS[kind]
+    opened = template.copy()
+    opened[opening] = _KINDS["name"]
+    filled = {1: number | unit | (capital & open_), 2: number | unit | capital}
     sizes = np.bincount(row, minlength=len(split))
     first = np.cumsum(sizes) - sizes
-    filled_before = np.r_[0, np.cumsum(filled)]
 
-    def slots(start: int, size: int) -> list[str]:
+    def slots(view: int, start: int, size: int) -> list[str]:
         kind = lambda i: "n" if number[i] else "u" if unit[i] else "p"
-        return [f"{kind(i)}:{memory.token[ids[i]].lower()}" for i in range(start, start + size) if filled[i]]
+        return [f"{kind(i)}:{memory.token[ids[i]].lower()}" for i in range(start, start + size) if filled[view][i]]
 
-    def holes(start: int, size: int) -> list[int]:
-        return [i - int(first[row[start]]) for i in range(start, start + size) if filled[i]]
+    def holes(view: int, start: int, size: int) -> list[int]:
+        return [i - int(first[row[start]]) for i in range(start, start + size) if filled[view][i]]
 
     found = []
     short = [int(r) for r in np.flatnonzero((sizes > 0) & (sizes < WINDOW))]
-    for view, each in ((0, plain), (1, template)):
+    for view, each, own in ((0, plain, None), (1, template, filled[1]), (2, opened, opening)):
         values = _hash_windows(each, WINDOW)
         whole = row[: len(values)] == row[WINDOW - 1 :][: len(values)]
         at, size = np.flatnonzero(whole), np.full(int(whole.sum()), WINDOW)
@@ -147,8 +160,9 @@ def _batch_windows(bodies: list[str], memory: _Tokens):
             at = np.r_[at, first[short]]
             size = np.r_[size, sizes[short]]
             values = np.r_[values, [_hash_windows(each[first[r] : first[r] + sizes[r]], int(sizes[r]))[0] for r in short]]
-        if view:
-            usable = filled_before[at + size] > filled_before[at]
+        if own is not None:
+            before = np.r_[0, np.cumsum(own)]
+            usable = before[at + size] > before[at]
             at, size, values = at[usable], size[usable], values[usable]
         found.append((view, at, size, values.astype(np.uint64)))
     return found, row, first, sizes, slots, holes
@@ -182,8 +196,8 @@ def _windows(rows: DataFrame, only: np.ndarray | None = None) -> DataFrame:
                     np.full(len(at), view),
                     at - first[of],
                     sizes[of],
-                    [slots(i, n) if view else [] for i, n in zip(at.tolist(), size.tolist())],
-                    [holes(i, n) if view else [] for i, n in zip(at.tolist(), size.tolist())],
+                    [slots(view, i, n) if view else [] for i, n in zip(at.tolist(), size.tolist())],
+                    [holes(view, i, n) if view else [] for i, n in zip(at.tolist(), size.tolist())],
                 )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, kind) for x, kind in zip(columns, kinds)],
