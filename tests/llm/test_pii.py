@@ -89,6 +89,21 @@ def test_disguised_identifiers_map_back_to_their_source(kind, disguise):
         ("email", "john( \tat )host.com"),
         ("email", "john [at] host[ dot ]com"),
         ("phone", "plus one two one six two one one two six two one"),
+        ("email", "juan arroba ejemplo punto com"),
+        ("email", "anna klammeraffe firma punkt de"),
+        ("email", "luc arobase exemple point fr"),
+        ("email", "john at example dot shop"),
+        ("email", "john at mail dot example dot photography"),
+        ("email", "𝗷𝗼𝗵𝗻@𝗲𝘅𝗮𝗺𝗽𝗹𝗲.com"),
+        ("email", "ⓙⓞⓗⓝ@example.com"),
+        ("email", "ⱼohn@exampleﹺcom".replace("ﹺ", "．")),
+        ("ip", "192 dot 168 dot 0 dot 1"),
+        ("ip", "10 punto 0 punto 12 punto 255"),
+        ("ip", "①⓪.0.0.1".replace("⓪", "０")),
+        ("phone", "plus one double five triple two six seven eight"),
+        ("phone", "plus drei vier fünf sechs sieben acht neun null"),
+        ("phone", "plus uno dos tres cuatro cinco seis siete ocho"),
+        ("phone", "plus zéro un deux trois quatre cinq sept huit"),
     ],
 )
 def test_the_whole_disguise_is_a_span_and_redacted(kind, disguise):
@@ -102,7 +117,8 @@ def test_the_whole_disguise_is_a_span_and_redacted(kind, disguise):
     "text",
     [
         "", "   ", "he was at home. dot", "one two three", "at the dot of noon", "x@y", "1.2.3", "a@b@c",
-        "Meet at noon at the point of no return.", "<at> and (dot)", "​",
+        "Meet at noon at the point of no return.", "<at> and (dot)", "​", "Look at the dot of noon", "Il est chez lui point final",
+        "Er kam an einem Punkt an dem", "double one two three", "x² + y² = z²", "Section 3 point 2 point 1", "at home dot the end",
     ],
 )
 def test_clean_text_has_no_identifier(text):

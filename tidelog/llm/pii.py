@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -76,6 +77,11 @@ _LOOKALIKES = dict(
 # Full-width forms stand 0xFEE0 above ASCII; some signs have wide or small twins as well.
 _LOOKALIKES |= {chr(c + 0xFEE0): chr(c) for c in range(0x21, 0x7F)}
 _LOOKALIKES |= {"﹫": "@", "。": ".", "․": ".", "‐": "-", "‑": "-", "–": "-", "−": "-", " ": " ", " ": " "}
+# Letters, digits and signs that decompose into one ASCII character: mathematical, circled, raised and other forms.
+for _c in (*range(0xAA, 0x250), *range(0x1D2C, 0x1D70), *range(0x2070, 0x2190), *range(0x2460, 0x2500), *range(0x2C7C, 0x2C7E), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F190)):
+    _form = unicodedata.normalize("NFKC", chr(_c))
+    if len(_form) == 1 and "!" <= _form <= "~":
+        _LOOKALIKES.setdefault(chr(_c), _form)
 _INVISIBLE = "​‌‍⁠﻿­"
 _ODD_CHARACTER = re.compile("[" + "".join(map(re.escape, _LOOKALIKES)) + _INVISIBLE + "٠-٩۰-۹०-९]")
 
@@ -96,22 +102,38 @@ _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
 _BRACKETED_AT = re.compile(rf"\s*{_OPEN}\s*(?:{_AT})\s*{_SHUT}\s*", re.I)
 _BRACKETED_DOT = re.compile(rf"\s*{_OPEN}\s*(?:{_DOT})\s*{_SHUT}\s*", re.I)
 _BRACKETED = re.compile(rf"{_OPEN}\s*(?:{_AT}|{_DOT})\s*{_SHUT}", re.I)
-_SPOKEN_DOT = r"\s+dot\s+"
-# Last labels that end an address said in bare words.
-_ENDINGS = "com|net|org|edu|gov|mil|int|info|biz|io|ai|app|dev|co|eu|us|uk|de|fr|es|it|nl|ch|at|be|pt|pl|se|no|dk|fi|ie|ca|au|nz|mx|br|ar|cl|jp|cn|in|ru|example|test|invalid|local|onion"
-_NAME = r"[A-Za-z0-9._%+-]{1,64}"
-_LABEL = r"[A-Za-z0-9-]{1,63}"
+# At and dot as they are said, and words that no spoken host or ending is.
+_SAID_AT, _SAID_DOT = "at|arroba|arobase|chez|klammeraffe", "dot|punkt|punto|point"
+_NO_LABEL = frozenset(
+    "the a an this that these those my your his her its our their of on in to is was are and or for with by from final home work "
+    "le la les un une des ce cette mon ton son nous vous lui elle et ou de du sur dans est "
+    "der die das ein eine dem den des und oder von zu im am ist mein dein sein "
+    "el los las una unos este esta mi tu su y o del al en es final".split()
+)
+# Country endings that are such words as well.
+_COUNTRIES = frozenset("de es fr it at in is no la".split())
+_NAME = r"[A-Za-z0-9._%+-]+"
+_LABEL = r"[A-Za-z0-9-]+"
+_SPOKEN_DOT = rf"\s+(?:{_SAID_DOT})\s+"
 # Bare words count only as a whole address: "name at host dot tld", or "name@host dot tld".
 _SPOKEN = re.compile(
-    rf"(?<![A-Za-z0-9._%+-]){_NAME}(\s+(?:at|arroba)\s+|@){_LABEL}(?:\.{_LABEL})*((?:{_SPOKEN_DOT}{_LABEL})*{_SPOKEN_DOT}(?:{_ENDINGS}))(?![A-Za-z0-9-])",
+    rf"(?<![A-Za-z0-9._%+-]){_NAME}(\s+(?:{_SAID_AT})\s+|@)({_LABEL}(?:\.{_LABEL})*)((?:{_SPOKEN_DOT}{_LABEL})*?{_SPOKEN_DOT}([A-Za-z]{{2,}}))(?![A-Za-z0-9-]|{_SPOKEN_DOT}{_LABEL})",
     re.I,
 )
 _SPOKEN_DOT = re.compile(_SPOKEN_DOT, re.I)
+_ANY_DOT = re.compile(rf"(?<!\w)(?:{_SAID_DOT})(?!\w)", re.I)
 _DIGIT = "(?:" + "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True)) + "|[0-9])"
+# A digit said twice or three times.
+_TIMES = {"double": 2, "triple": 3, "doble": 2, "doppel": 2}
+_SOME = rf"(?:(?:{'|'.join(_TIMES)})[\s-]*)?{_DIGIT}"
 _SAID = re.compile(
-    rf"(?<!\w)(?:plus[\s-]+|\+\s?)?{_DIGIT}(?:(?:[\s,-]{{1,3}}|\s+(?:dot|point|punkt|punto)\s+){_DIGIT}){{6,}}(?!\w)", re.I
+    rf"(?<!\w)(?:plus[\s-]+|\+\s?)?{_SOME}(?:(?:[\s,-]{{1,3}}|\s+(?:{_SAID_DOT})\s+){_SOME}){{4,}}(?!\w)", re.I
 )
-_SAID_PART = re.compile(rf"plus|\+|dot|point|punkt|punto|(?<!\w){_DIGIT}(?!\w)", re.I)
+_SAID_PART = re.compile(rf"plus|\+|{_SAID_DOT}|{'|'.join(_TIMES)}|(?<![^\W_]){_DIGIT}(?!\w)", re.I)
+#: Digits that a spoken number has at least.
+_LEAST_SAID = 7
+# Groups of digits with spoken dots between them: "192 dot 168 dot 0 dot 1".
+_GROUPS = re.compile(rf"(?<!\w)[0-9]{{1,3}}(?:\s+(?:{_SAID_DOT})\s+[0-9]{{1,3}}){{3}}(?!\w)", re.I)
 
 
 class _Rewritten:
@@ -166,35 +188,49 @@ def _plain_character(c: str) -> str:
 
 
 def _said(m: re.Match) -> str:
-    out = []
+    out, times = [], 1
     for part in _SAID_PART.findall(m.group()):
         p = part.lower()
-        out.append("+" if p in ("plus", "+") else p if p.isdecimal() else _DIGIT_WORDS.get(p, "."))
+        if p in _TIMES:
+            times = _TIMES[p]
+            continue
+        out.append("+" if p in ("plus", "+") else (p if p.isdecimal() else _DIGIT_WORDS.get(p, ".")) * times)
+        times = 1
     return "".join(out)
 
 
+def _said_changes(text: str) -> list[tuple[int, int, str]]:
+    made = [(*m.span(), _said(m)) for m in _SAID.finditer(text)]
+    return [x for x in made if sum(c.isdecimal() for c in x[2]) >= _LEAST_SAID]
+
+
 def _spoken_changes(text: str) -> list[tuple[int, int, str]]:
     changes = []
     for m in _SPOKEN.finditer(text):
+        if m.group(4).lower() in _NO_LABEL - _COUNTRIES or m.group(2).lower() in _NO_LABEL:
+            continue
         if m.group(1) != "@":
             changes.append((*m.span(1), "@"))
-        changes += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, *m.span(2))]
+        changes += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(text, *m.span(3))]
     return changes
 
 
+def _group_changes(text: str) -> list[tuple[int, int, str]]:
+    return [(*d.span(), ".") for m in _GROUPS.finditer(text) for d in _SPOKEN_DOT.finditer(text, *m.span())]
+
+
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Identifiers that only the rewritten text shows whole: no ``base`` span of their kind holds them."""
     steps: list = []
-    low = text.lower()
     if not text.isascii() and _ODD_CHARACTER.search(text):
         steps.append(lambda t: [(*m.span(), _plain_character(m.group())) for m in _ODD_CHARACTER.finditer(t)])
     odd = bool(steps)  # what the later steps look for may only show when they are gone
     if odd or _BRACKETED.search(text):
         steps.append(lambda t: [(*m.span(), "@") for m in _BRACKETED_AT.finditer(t)])
         steps.append(lambda t: [(*m.span(), ".") for m in _BRACKETED_DOT.finditer(t)])
-    if odd or "dot" in low:
-        steps.append(_spoken_changes)
-    steps.append(lambda t: [(*m.span(), _said(m)) for m in _SAID.finditer(t)])
+    if odd or _ANY_DOT.search(text):
+        steps += [_spoken_changes, _group_changes]
+    steps.append(_said_changes)
     made = _Rewritten(text)
     changed = False
     for step in steps:
@@ -273,13 +309,18 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with placeholders in ``text`` (and ``n_chars``, if there, to match); a null text stays null."""
+    """The documents with placeholders in ``text`` (and ``n_chars``, if there, to match); a null text stays null.
 
-    @F.pandas_udf("string")
-    def cleaned(column):
-        return column.map(lambda x: None if x is None else redacted(x, spans(x)[1]))
+    All columns are kept, whatever their names; rows are looked at one by one.
+    """
+    place = docs.columns.index(text)
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cleaned = [None if x is None else redacted(x, spans(x)[1]) for x in batch.column(place).to_pylist()]
+            yield batch.set_column(place, batch.schema.field(place), pa.array(cleaned, batch.schema.field(place).type))
 
-    out = docs.withColumn(text, cleaned(F.col(f"`{text}`")))
+    out = map_batches(docs, kernel, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(F.col(f"`{text}`")).cast(docs.schema["n_chars"].dataType))
     return out
