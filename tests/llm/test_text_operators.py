@@ -563,6 +563,26 @@ def test_quality_scores_separate_held_out_rows(spark):
     assert sum((found[k].predicted == 1) == ("$" not in rows[k][1]) for k in held) >= 0.95 * len(held)
     none = pu_classifier.fit(frame, labels.limit(0))
     assert all(r.score == pytest.approx(0.5) for r in pu_classifier.score(frame.limit(5), none).collect())
+    assert pu_classifier.score(frame.limit(0), pu_classifier.fit(frame.limit(0), labels)).count() == 0
+    # Rows of one id multiply, the sample does not; a very long text is one row.
+    many = frame.where("doc_id < 400").unionByName(spark.createDataFrame([(1, "good words " * 20_000, 0)] * 3, frame.schema))
+    assert pu_classifier.score(many, pu_classifier.fit(many, labels)).count() == 403
+
+
+@pytest.mark.parametrize("prior", [0.25, 0.5, 0.8])
+def test_the_class_prior_is_estimated_from_unlabelled_text(prior):
+    rnd = random.Random(17)
+
+    def text(good):
+        words = prose(rnd, rnd.randrange(60, 150)).split()
+        if not good:
+            words = [w + rnd.choice(["", "$$", "||", "!!"]) for w in words]
+        return " ".join(words)
+
+    feature = lambda n, good: np.array([pu_classifier.features(text(good)) for _ in range(n)])
+    unlabelled = np.vstack([feature(int(1200 * prior), True), feature(1200 - int(1200 * prior), False)])
+    np.random.default_rng(1).shuffle(unlabelled)
+    assert pu_classifier.estimated_prior(feature(600, True), unlabelled) == pytest.approx(prior, abs=0.05)
 
 
 # -- pipeline --------------------------------------------------------------------

@@ -4,8 +4,11 @@ Trusted positives and unlabelled web text are enough: with class prior p and a l
 bounded to 0..1, the risk is p R+(pos) + max(0, R-(unl) - p R-(pos)).  Where the
 estimate of the negatives' risk falls below zero, a step goes against its gradient
 instead, so that the model doesn't learn the unlabelled rows by heart.  The model is
-a linear one over measurements of the text and hashed character classes of word ends; the class prior is
-estimated from the labels of the training fold.
+a linear one over measurements of the text and hashed character classes of word ends.
+
+No label of another class is used.  The class prior is estimated from positives and
+unlabelled text: among texts that look most like positives, the share of
+unlabelled ones against that of positives falls to the prior where no others are left.
 """
 
 from __future__ import annotations
@@ -23,8 +26,10 @@ from tidelog.llm.tables import crc32_mod, map_batches, texts
 
 #: The fold held out: crc32 of the id modulo FOLDS.
 FOLDS, HELD_OUT = 4, 2
-#: Labelled rows (positives and others) that the model is fitted on at most.
+#: Positive rows, and unlabelled ones, that the model is fitted on at most: hash samples of all outside the fold.
 SAMPLE_ROWS = 6_000
+#: Rows of either kind from which the class prior is estimated.
+LEAST_ROWS = 20
 #: Hashed features.
 BUCKETS = 512
 #: Score from which a text counts as good.
@@ -131,48 +136,102 @@ class PuModel:
         return _sigmoid((raw - self.shift) * self.scale + offset)
 
 
-def _features_of(rows: DataFrame, keep: str) -> DataFrame:
+def _look_alike(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 300, rate: float = 0.05, decay: float = 1e-3):
+    """Scorer that tells positives from unlabelled texts, by logistic regression with equal weights."""
+    every = np.vstack([positive, unlabelled])
+    mean, spread = every.mean(0), every.std(0) + 1e-3
+
+    def scaled(x: np.ndarray) -> np.ndarray:
+        out = np.clip((x - mean) / spread, -6, 6)
+        out[:, 0] = 1.0
+        return out
+
+    x = scaled(every)
+    wanted = np.r_[np.ones(len(positive)), np.zeros(len(unlabelled))]
+    weight = np.r_[np.full(len(positive), 0.5 / len(positive)), np.full(len(unlabelled), 0.5 / len(unlabelled))]
+    w = np.zeros(x.shape[1])
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, steps + 1):
+        g = x.T @ (weight * (_sigmoid(x @ w) - wanted)) + decay * w
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    return lambda x: scaled(x) @ w
+
+
+def _top_ratio(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of unlabelled scores at the top against that of positive ones, where its upper bound is smallest.
+
+    Any top holds at least the prior's share of its positives' share; the bound keeps small tops out.
+    """
+    cut = np.unique(np.r_[positive, unlabelled])
+    p = 1 - np.searchsorted(np.sort(positive), cut) / len(positive)
+    u = 1 - np.searchsorted(np.sort(unlabelled), cut) / len(unlabelled)
+    some = p > 0.05
+    p, u = p[some], u[some]
+    doubt = np.sqrt(np.log(40) / (2 * len(positive))) + np.sqrt(np.log(40) / (2 * len(unlabelled)))
+    best = int(np.argmin(u / p + 1.01 / p * doubt))
+    return float(u[best] / p[best])
+
+
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives among the unlabelled texts; each half is scored by what the other half taught."""
+    if min(len(positive), len(unlabelled)) < LEAST_ROWS:
+        return 0.5
+    found = []
+    for half in (0, 1):
+        a, b = np.arange(len(positive)) % 2 == half, np.arange(len(unlabelled)) % 2 == half
+        like = _look_alike(positive[a], unlabelled[b])
+        found.append(_top_ratio(like(positive[~a]), like(unlabelled[~b])))
+    return float(np.clip(np.mean(found), 0.01, 0.99))
+
+
+def _sampled_features(rows: DataFrame) -> np.ndarray:
+    """Features of at most ``SAMPLE_ROWS`` rows (``text``)."""
+
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(x) for x in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(keep), pa.array(made, pa.list_(pa.float64()))], names=[keep, "features"])
+            made = [features(x).astype(np.float32) for x in texts(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.list_(pa.float32()))], names=["features"])
 
-    return map_batches(rows, kernel, f"{keep} int, features array<double>")
+    column = map_batches(rows.select("text").limit(SAMPLE_ROWS), kernel, "features array<float>").toArrow().column("features")
+    flat = column.combine_chunks().flatten().to_numpy() if len(column) else np.empty(0)
+    return flat.reshape(-1, MEASURES + BUCKETS).astype(np.float64)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> PuModel:
-    """The model from labelled rows outside the held-out fold.
+    """The model from trusted positives and unlabelled documents outside the held-out fold.
 
-    Of these at most ``SAMPLE_ROWS`` are taken, in the order of their ids' hash.  Those of
-    quality 1 are the trusted positives; all of them, whatever their label, are the
-    unlabelled text.  Their share of positives is the class prior.  Without any labelled
-    row, or with one class only, every text scores by the prior alone.
+    Positives are documents of quality 1; unlabelled text is a sample of all documents, labelled or not, by hash of id
+    and text.  Of either kind about ``SAMPLE_ROWS`` rows are taken, and never more.  Repeated rows may be taken
+    several times.  Without positives or documents every text scores 0.5.
     """
+    training = crc32_mod("doc_id", FOLDS) != HELD_OUT
     known = (
-        labels.where("quality is not null and doc_id is not null")
-        .where(crc32_mod("doc_id", FOLDS) != HELD_OUT)
-        .groupBy("doc_id")
-        .agg(F.max("quality").alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(SAMPLE_ROWS)
-    )
-    texts_ = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("quality", "text")
-    rows = _features_of(texts_, "quality").collect()
-    x = np.array([r.features for r in rows]).reshape(len(rows), MEASURES + BUCKETS)
-    y = np.array([r.quality for r in rows], int)
-    prior = float(np.clip((y == 1).mean(), 0.01, 0.99)) if len(y) else 0.5
-    model = PuModel(prior)
-    if 0 < (y == 1).sum() < len(y):
-        model.fit(x[y == 1], x)
-    else:
-        model.mean, model.spread = np.zeros(x.shape[1]), np.ones(x.shape[1])
-        model.weights, model.scale = np.zeros(x.shape[1]), 1.0
-        model.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)) - np.log(prior / (1 - prior)))
+        labels.where("quality = 1 and doc_id is not null").where(training).select("doc_id").distinct()
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    )
+    rows = docs.select("doc_id", "text")
+    positive = _sampled_features(rows.join(F.broadcast(known), "doc_id"))
+    outside = rows.where(training)
+    share = min(1.0, SAMPLE_ROWS / max(1, outside.count()))
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
+    unlabelled = _sampled_features(outside.where(drawn))
+    model = PuModel(estimated_prior(positive, unlabelled))
+    if len(positive) and len(unlabelled):
+        return model.fit(positive, unlabelled)
+    model.prior = 0.5
+    model.mean, model.spread = np.zeros(MEASURES + BUCKETS), np.ones(MEASURES + BUCKETS)
+    model.weights, model.scale = np.zeros(MEASURES + BUCKETS), 1.0
+    model.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)))
     return model
 
 
 def score(docs: DataFrame, model: PuModel) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of each row; a null text is the empty text."""
+    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of each row.
+
+    A null text is the empty text; repeated rows are scored one by one; texts are read whole; other columns are
+    not read; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
