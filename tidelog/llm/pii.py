@@ -83,6 +83,7 @@ for _c in (*range(0xAA, 0x250), *range(0x1D2C, 0x1D70), *range(0x2070, 0x2190),
     if len(_form) == 1 and "!" <= _form <= "~":
         _LOOKALIKES.setdefault(chr(_c), _form)
 _INVISIBLE = "​‌‍⁠﻿­"
+_ODD_CHARACTERS = frozenset([*_LOOKALIKES, *_INVISIBLE, *"٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹०१२३४५६७८९"])
 _ODD_CHARACTER = re.compile("[" + "".join(map(re.escape, _LOOKALIKES)) + _INVISIBLE + "٠-٩۰-۹०-९]")
 
 # Digits as words, in the languages of the corpus.
@@ -121,7 +122,7 @@ _SPOKEN = re.compile(
     re.I,
 )
 _SPOKEN_DOT = re.compile(_SPOKEN_DOT, re.I)
-_ANY_DOT = re.compile(rf"(?<!\w)(?:{_SAID_DOT})(?!\w)", re.I)
+_DOT_WORDS = frozenset(_SAID_DOT.split("|"))
 _DIGIT = "(?:" + "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True)) + "|[0-9])"
 # A digit said twice or three times.
 _TIMES = {"double": 2, "triple": 3, "doble": 2, "doppel": 2}
@@ -130,6 +131,8 @@ _SAID = re.compile(
     rf"(?<!\w)(?:plus[\s-]+|\+\s?)?{_SOME}(?:(?:[\s,-]{{1,3}}|\s+(?:{_SAID_DOT})\s+){_SOME}){{4,}}(?!\w)", re.I
 )
 _SAID_PART = re.compile(rf"plus|\+|{_SAID_DOT}|{'|'.join(_TIMES)}|(?<![^\W_]){_DIGIT}(?!\w)", re.I)
+# Words of spoken numbers, of which such a number has three in a row at least, whatever stands around it.
+_NUMBER_WORDS = frozenset([*_DIGIT_WORDS, *_TIMES, *_DOT_WORDS, "plus", "+", *"0123456789"])
 #: Digits that a spoken number has at least.
 _LEAST_SAID = 7
 # Groups of digits with spoken dots between them: "192 dot 168 dot 0 dot 1".
@@ -222,15 +225,19 @@ def _group_changes(text: str) -> list[tuple[int, int, str]]:
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Identifiers that only the rewritten text shows whole: no ``base`` span of their kind holds them."""
     steps: list = []
-    if not text.isascii() and _ODD_CHARACTER.search(text):
+    if not text.isascii() and not _ODD_CHARACTERS.isdisjoint(text):
         steps.append(lambda t: [(*m.span(), _plain_character(m.group())) for m in _ODD_CHARACTER.finditer(t)])
     odd = bool(steps)  # what the later steps look for may only show when they are gone
     if odd or _BRACKETED.search(text):
         steps.append(lambda t: [(*m.span(), "@") for m in _BRACKETED_AT.finditer(t)])
         steps.append(lambda t: [(*m.span(), ".") for m in _BRACKETED_DOT.finditer(t)])
-    if odd or _ANY_DOT.search(text):
+    words = text.lower().replace(",", " ").replace("-", " ").split()
+    if odd or not _DOT_WORDS.isdisjoint(words):
         steps += [_spoken_changes, _group_changes]
-    steps.append(_said_changes)
+    if odd or b"\1\1\1" in bytes(map(_NUMBER_WORDS.__contains__, words)):
+        steps.append(_said_changes)
+    if not steps:
+        return []
     made = _Rewritten(text)
     changed = False
     for step in steps:
