@@ -16,6 +16,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm.tables import stored
+
 # Public licence texts, the notices their authors ask for, and usual short forms.
 _WARRANTY = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
@@ -177,32 +179,36 @@ def pieces(body: Column) -> Column:
 def own_licences(files: DataFrame) -> DataFrame:
     """``path``, ``mark``, ``licence``, ``similarity``, ``is_file`` of the files that name a licence.
 
-    ``files`` has ``path``, ``text`` and ``mark``, which tells texts of one path apart.  The most similar template counts, of equal
-    ones the first in order.  Counts are sums over equal rows, which leaves the
+    ``files`` has ``path``, ``text`` and ``mark``, a hash of both.  The most similar template counts, of
+    equal ones the first in order.  Counts are sums over equal rows, which leaves the
     angle as it is, so repeated rows score like single ones.
     """
-    spark, at = files.sparkSession, ["path", "mark", "piece"]
+    spark, at = files.sparkSession, ["mark", "piece"]
     body = F.coalesce("text", F.lit(""))
-    heads = files.where(body.rlike(HINT)).select("path", "mark", F.posexplode(pieces(body)).alias("piece", "said"))
-    # Counts per piece and term are added up before they are shuffled.
-    said = heads.select(*at, F.explode(F.regexp_extract_all(F.lower("said"), F.lit(f"({TERM})"))).alias("term"))
-    counted = said.groupBy(*at, "term").agg(F.count(F.lit(1)).alias("n"))
+    heads = files.where(body.rlike(HINT)).select("path", "mark", body.alias("body"))
+    said = heads.select("mark", F.posexplode(pieces(F.col("body"))).alias("piece", "said"))
+    said = said.select(*at, F.explode(F.regexp_extract_all(F.lower("said"), F.lit(f"({TERM})"))).alias("term"))
+    # Counts per piece and term are added up before they are shuffled; terms travel as hashes.
+    counted = said.groupBy(*at, F.xxhash64("term").alias("term")).agg(F.count(F.lit(1)).alias("n"))
     # The templates are a fixed list of some thousand terms.
-    weighed = counted.join(F.broadcast(term_weights(spark)), "term", "left").select(
+    known = F.broadcast(term_weights(spark).withColumn("term", F.xxhash64("term")))
+    weighed = counted.join(known, "term", "left").select(
         *at, "term", (F.col("n") * F.coalesce("idf", F.lit(weights()[1]))).alias("w")
     )
     length = weighed.groupBy(*at).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    shared = weighed.join(F.broadcast(template_vectors(spark)), "term")
+    shared = weighed.join(F.broadcast(template_vectors(spark).withColumn("term", F.xxhash64("term"))), "term")
     dots = shared.groupBy(*at, "template", "licence").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     scored = dots.join(length, at).withColumn("similarity", F.round(F.col("dot") / F.col("length"), 6))
     # Licences themselves say that all rights are reserved, so any other finding goes first.
     named = (F.col("licence") != NO_LICENCE).alias("named")
-    best = scored.where(F.col("similarity") >= LEAST_SIMILARITY).groupBy("path", "mark").agg(
+    best = scored.where(F.col("similarity") >= LEAST_SIMILARITY).groupBy("mark").agg(
         F.max(F.struct(named, "similarity", (-F.col("template")).alias("t"), "licence")).alias("b"),
         F.max(F.when(F.col("piece") == 0, F.col("similarity"))).alias("whole"),
     )
     is_file = F.col("path").rlike(_FILE_NAME) | (F.coalesce("whole", F.lit(0.0)) >= FILE_SIMILARITY)
-    return best.select("path", "mark", "b.licence", "b.similarity", is_file.alias("is_file"))
+    # The mark is a hash of path and text: each path and mark once.
+    found = heads.select("path", "mark").distinct().join(best, "mark")
+    return found.select("path", "mark", "b.licence", "b.similarity", is_file.alias("is_file"))
 
 
 def _folder(path: Column) -> Column:
@@ -220,7 +226,8 @@ def scan(files: DataFrame) -> DataFrame:
     term costs a row.  Other columns are not read.  An empty table gives no rows.
     """
     marked = files.select("path", "text", F.xxhash64("path", F.coalesce("text", F.lit(""))).alias("mark"))
-    own = own_licences(marked.where("path is not null"))
+    # Written once: folders and files both look into it.
+    own = stored(own_licences(marked.where("path is not null")), "licences")
     holders = (
         own.where("is_file")
         .groupBy(_folder(F.col("path")).alias("folder"))
