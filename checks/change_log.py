@@ -20,6 +20,11 @@ ACCOUNTS = TableSpec(
     domain_of="email",
 )
 
+#: A second topic, with the even half of the accounts.
+VISITORS = TableSpec(
+    name="visitors", topic="cdc.visitors", key=ACCOUNTS.key, values=ACCOUNTS.values, domain_of="email"
+)
+
 LOG_PARTITIONS = 3
 _SIX_HOURS_MS = 21_600_000
 
@@ -100,3 +105,9 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             time.alias("timestamp"),
         )
     )
+
+
+def visitor_log(log: DataFrame) -> DataFrame:
+    """The records of accounts with an even number, as they would stand in the second topic."""
+    even = F.col("key").cast("string").cast("bigint") % 2 == 0
+    return log.where(even).withColumn("topic", F.lit(VISITORS.topic))

@@ -292,3 +292,60 @@ ORACLES |= {
     "report_section_gold": ORACLES["domain_share"],
     "seed_table_twice": ORACLES["seed_users"],
 }
+
+_VISITORS = """
+visitors AS (
+  SELECT * REPLACE ('cdc.visitors' AS kafka_topic) FROM bronze WHERE CAST(kafka_key AS BIGINT) % 2 = 0
+)"""
+
+# Silver by key, and what streams keep as state.
+ORACLES |= {
+    "merge_keyed_upsert_delete": ORACLES["merge_upsert_delete"],
+    "merge_keyed_ordered": ORACLES["silver_latest"],
+    "gold_domain_by_deltas": ORACLES["gold_email_domain"],
+    "stream_keyed_silver": ORACLES["silver_latest"],
+    "stream_newest_rows": ORACLES["silver_latest"],
+    "stream_newest_rows_expiring": ORACLES["silver_latest"],
+    "stream_replayed_log": ORACLES["bronze_flatten"],
+    "stream_observed_ops": ORACLES["op_counts"],
+    "stream_topics_bronze": _with(
+        _LOG, _VISITORS, select="SELECT * FROM bronze UNION ALL SELECT * FROM visitors"
+    ),
+    "stream_topics_domains": _with(
+        _LOG,
+        _SILVER,
+        select="""
+SELECT t.topic, email_domain, CAST(COUNT(*) AS BIGINT) AS user_count
+FROM silver JOIN (VALUES ('cdc.users', 1), ('cdc.visitors', 2)) AS t(topic, step) ON id % t.step = 0
+WHERE email_domain IS NOT NULL GROUP BY t.topic, email_domain""",
+    ),
+    "stored_offset_runs": _with(
+        _LOG,
+        select="""
+, placed AS (
+  SELECT kafka_topic, kafka_partition, kafka_offset // 4096 AS block, kafka_offset,
+    kafka_offset - row_number() OVER (PARTITION BY kafka_partition, kafka_offset // 4096 ORDER BY kafka_offset) AS island
+  FROM bronze
+)
+SELECT kafka_topic, kafka_partition, block, MIN(kafka_offset) AS first_offset, MAX(kafka_offset) AS last_offset
+FROM placed GROUP BY kafka_topic, kafka_partition, block, island""",
+    ),
+    "silver_kpis_kept": _with(
+        _LOG,
+        _SILVER,
+        select="""
+SELECT CAST(COUNT(*) AS BIGINT) AS total_users,
+  CAST(COUNT(DISTINCT email_domain) AS BIGINT) AS unique_domains,
+  MIN(source_ts) AS earliest_record, MAX(source_ts) AS latest_record
+FROM silver""",
+    ),
+    "latest_events_20_kept": ORACLES["latest_events_20"],
+    "bronze_figures_from_footers": _with(
+        _LOG,
+        select="""
+SELECT CAST(COUNT(*) AS BIGINT) AS rows, MIN(source_ts_ms) AS min_source_ts_ms, MAX(source_ts_ms) AS max_source_ts_ms,
+  MIN(kafka_offset) AS min_kafka_offset, MAX(kafka_offset) AS max_kafka_offset
+FROM bronze""",
+    ),
+    "stream_window_late_5m": ORACLES["window_changes_5m"],
+}

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.change_log import ACCOUNTS, LOG_PARTITIONS, change_log, events_table
+from checks.change_log import ACCOUNTS, LOG_PARTITIONS, VISITORS, change_log, events_table, visitor_log
 from tidelog import schemas
 from tidelog.config import ORDER_COLUMNS
 from tidelog.operators import (
@@ -29,18 +29,33 @@ from tidelog.operators import (
 )
 from tidelog.operators.latest import state_inputs
 from tidelog.plans import jobs, reports
-from tidelog.plans.layers import advance_gold, advance_silver
+from tidelog.plans.layers import (
+    advance_daily,
+    advance_gold,
+    advance_keyed,
+    advance_newest_events,
+    advance_runs,
+    advance_silver,
+)
+from tidelog.plans.topics import start_topics
 from tidelog.session import scratch_root
 from tidelog.sinks.files import Folders
-from tidelog.sinks.lake import DAILY, DOMAIN, SILVER, Lake
+from tidelog.sinks.keyed import KeyedTable
+from tidelog.sinks.lake import DAILY, DOMAIN, FIGURES, NEWEST, RUNS, SILVER, Lake
 from tidelog.sinks.maintenance import compact_bronze, drop_compacted
+from tidelog.sources.footers import footer_figures
 from tidelog.streaming import (
     changes_per_window,
+    drop_replayed,
+    observed_counts,
     process_batch,
     start_layers,
     start_window_counts,
     window_counts,
 )
+from tidelog.streaming.late import fold_tallies, late_events, start_window_tallies, window_tallies
+from tidelog.streaming.latest import start_newest
+from tidelog.streaming.progress import ProgressLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,12 +149,11 @@ def gold_daily_changes(spark, sf_dir):
 
 @query
 def gold_daily_incremental(spark, sf_dir):
-    """Every log partition ingested on its own and added to the stored tally."""
+    """Every log partition ingested on its own and added to the stored tally, apart from Silver."""
     lake = _new_lake(spark)
     for log in _by_log_partition(spark, sf_dir):
         jobs.ingest(log, lake, dedupe="none")
-        advance_silver(lake)
-        advance_gold(lake)
+        advance_daily(lake)
     return _no_clock(lake.read(DAILY))
 
 
@@ -278,6 +292,70 @@ def merge_ordered(spark, sf_dir):
     return _merged_batches(spark, sf_dir, (1, 0, 1), "ordered")
 
 
+def _by_key(lake: Lake) -> KeyedTable:
+    return KeyedTable(lake.spark, f"{lake.root}/silver_by_key", lake.spec, parts=16)
+
+
+@query
+def merge_keyed_upsert_delete(spark, sf_dir):
+    """The reference clauses on Silver by key: loads, then updates and deletes, in touched partitions only."""
+    lake = _new_lake(spark)
+    table = _by_key(lake)
+    for step, batch in enumerate(_loads_and_changes(parse_events(change_log(spark, sf_dir), ACCOUNTS))):
+        lake.write_bronze(batch, lake.reserve(f"merge-{step}"))
+        advance_keyed(lake, table, mode="reference")
+    return _no_clock(to_silver(table.read(), ACCOUNTS))
+
+
+def _merged_by_key(spark, sf_dir) -> tuple[Lake, KeyedTable]:
+    """The log in four parts by time of day, newest first, each merged into Silver by key."""
+    lake = _new_lake(spark)
+    table = _by_key(lake)
+    log = change_log(spark, sf_dir)
+    for part in (3, 1, 0, 2):
+        jobs.ingest(log.where(F.floor(F.hour("timestamp") / 6) == part), lake, dedupe="none")
+        advance_keyed(lake, table)
+    return lake, table
+
+
+@query
+def merge_keyed_ordered(spark, sf_dir):
+    return _no_clock(to_silver(_merged_by_key(spark, sf_dir)[1].read(), ACCOUNTS))
+
+
+@query
+def gold_domain_by_deltas(spark, sf_dir):
+    """Domain counts that followed four merges by differences of old and new rows."""
+    return _no_clock(_merged_by_key(spark, sf_dir)[0].read(DOMAIN))
+
+
+@query
+def silver_kpis_kept(spark, sf_dir):
+    """KPIs that followed four merges, deletes of extreme rows included."""
+    lake = _merged_by_key(spark, sf_dir)[0]
+    return reports.kept_kpis(lake.read(FIGURES), lake.read(DOMAIN))
+
+
+@query
+def latest_events_20_kept(spark, sf_dir):
+    """The newest events of each ingest met with the twenty stored ones."""
+    lake = _new_lake(spark)
+    for log in _by_log_partition(spark, sf_dir):
+        jobs.ingest(log, lake, dedupe="none")
+        advance_newest_events(lake)
+    newest = lake.read(NEWEST).withColumn("_ingestion_ts", F.col("kafka_timestamp"))
+    return reports.latest_events(newest, ACCOUNTS).withColumnRenamed("_ingestion_ts", "kafka_timestamp")
+
+
+@query
+def bronze_figures_from_footers(spark, sf_dir):
+    """Row count and extremes of a history of three batches, answered by file footers."""
+    lake = _new_lake(spark)
+    for log in _by_log_partition(spark, sf_dir):
+        jobs.ingest(log, lake, dedupe="none")
+    return footer_figures(spark, lake.bronze_files(), schemas.bronze(ACCOUNTS), ["source_ts_ms", "kafka_offset"])
+
+
 # -- Written tables -------------------------------------------------------------
 
 
@@ -326,6 +404,17 @@ def bronze_append_gaps(spark, sf_dir):
     return _no_clock(lake.bronze())
 
 
+@query
+def stored_offset_runs(spark, sf_dir):
+    """Runs of consecutive offsets per log partition, carried along over two ingests."""
+    lake = _new_lake(spark)
+    whole = change_log(spark, sf_dir)
+    for log in (whole.where(F.col("offset") % 5 < 3), whole):
+        jobs.ingest(log, lake, dedupe="exact")
+    advance_runs(lake)
+    return lake.read(RUNS)
+
+
 @query
 def ingest_empty_scan(spark, sf_dir):
     """Tables made by the first scan; an empty scan after it changes nothing."""
@@ -491,6 +580,119 @@ def stream_gold_domain(spark, sf_dir):
     return _no_clock(_streamed(spark, sf_dir).read(DOMAIN))
 
 
+@query
+def stream_keyed_silver(spark, sf_dir):
+    """The layers with Silver by key."""
+    folder = _scratch(spark)
+    lake = Lake(spark, f"{folder}/lake", ACCOUNTS)
+    table = _by_key(lake)
+    _run_stream(spark, folder, lake, _stage(change_log(spark, sf_dir), folder), table=table)
+    return _no_clock(to_silver(table.read(), ACCOUNTS))
+
+
+@query
+def stream_replayed_log(spark, sf_dir):
+    """The log in order of time, its newest third delivered again at the end; each position counts once."""
+    folder = _scratch(spark)
+    lake = Lake(spark, f"{folder}/lake", ACCOUNTS)
+    log = change_log(spark, sf_dir)
+    ends = log.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last")).first()
+    third = ends["last"] - (ends["last"] - ends["first"]) / 3
+    within = f"{int((ends['last'] - third).total_seconds()) + 3600} seconds"
+    files, clock = Folders(spark, folder), 1_600_000_000_000
+    files.make("log")
+    for name, rows, parts in (("whole", log, 6), ("again", log.where(F.col("timestamp") >= F.lit(third)), 2)):
+        rows.repartitionByRange(parts, "timestamp").write.parquet(f"{folder}/{name}")
+        for part in (n for n in files.names(name) if n.startswith("part-")):
+            clock += 1000  # a file stream reads the oldest file first
+            files.set_time(clock, name, part)
+            files.move((name, part), ("log", part))
+    reader = spark.readStream.schema(schemas.CHANGE_LOG).option("maxFilesPerTrigger", 2)
+    start_layers(
+        drop_replayed(reader.parquet(f"{folder}/log"), within),
+        lake,
+        f"{folder}/checkpoint",
+        trigger_seconds=None,
+        bronze_only=True,
+    ).awaitTermination()
+    return _no_clock(lake.bronze())
+
+
+def _newest(spark, sf_dir, **options) -> DataFrame:
+    """Silver from the stream's own state."""
+    folder = _scratch(spark)
+    table = KeyedTable(spark, f"{folder}/silver", ACCOUNTS, parts=16)
+    intake = _stage(change_log(spark, sf_dir), folder)
+    reader = spark.readStream.schema(schemas.CHANGE_LOG).option("maxBytesPerTrigger", intake)
+    start_newest(
+        reader.parquet(f"{folder}/log"), table, f"{folder}/checkpoint", trigger_seconds=None, **options
+    ).awaitTermination()
+    return _no_clock(to_silver(table.read(), ACCOUNTS))
+
+
+@query
+def stream_newest_rows(spark, sf_dir):
+    return _newest(spark, sf_dir)
+
+
+@query
+def stream_newest_rows_expiring(spark, sf_dir):
+    """With timers that would forget a delete after a day."""
+    return _newest(spark, sf_dir, forget_deletes_ms=86_400_000)
+
+
+def _topics(spark, sf_dir) -> dict[str, Lake]:
+    """Two topics from one stream, dealt out in each micro-batch."""
+    folder = _scratch(spark)
+    lakes = {spec.topic: Lake(spark, f"{folder}/{spec.name}", spec) for spec in (ACCOUNTS, VISITORS)}
+    log = change_log(spark, sf_dir)
+    intake = _stage(log.unionByName(visitor_log(log)), folder)
+    reader = spark.readStream.schema(schemas.CHANGE_LOG).option("maxBytesPerTrigger", intake)
+    tables = {VISITORS.topic: _by_key(lakes[VISITORS.topic])}
+    start_topics(
+        reader.parquet(f"{folder}/log"),
+        lakes,
+        f"{folder}/checkpoint",
+        f"{folder}/staging",
+        tables=tables,
+        trigger_seconds=None,
+    ).awaitTermination()
+    return lakes
+
+
+@query
+def stream_topics_bronze(spark, sf_dir):
+    """The history of both topics."""
+    first, second = _topics(spark, sf_dir).values()
+    return _no_clock(first.bronze().unionByName(second.bronze()))
+
+
+@query
+def stream_topics_domains(spark, sf_dir):
+    """The domain tables of both topics: one counted from Silver's versions, the other by differences."""
+    lakes = _topics(spark, sf_dir)
+    parts = [lake.read(DOMAIN).withColumn("topic", F.lit(topic)) for topic, lake in lakes.items()]
+    return _no_clock(parts[0].unionByName(parts[1]))
+
+
+@query
+def stream_observed_ops(spark, sf_dir):
+    """Events per operation as the stream's progress reports counted them."""
+    folder = _scratch(spark)
+    lake = Lake(spark, f"{folder}/lake", ACCOUNTS)
+    reports_at = f"{folder}/progress"
+    listener = ProgressLog(spark, reports_at)
+    spark.streams.addListener(listener)
+    try:
+        _run_stream(spark, folder, lake, _stage(change_log(spark, sf_dir), folder), bronze_only=True, metrics=True)
+        listener.settle()
+    finally:
+        spark.streams.removeListener(listener)
+    counts = observed_counts(spark.read.parquet(reports_at))
+    named = counts.where(F.col("measure").startswith("op_") & (F.col("n") > 0))
+    return named.select(F.substring("measure", 4, 100).alias("op_type"), F.col("n").alias("event_count"))
+
+
 def _window_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("ts").cast("timestamp").alias("source_ts"), F.col("event_type").alias("op_type")
@@ -520,3 +722,20 @@ def stream_window_changes_5m(spark, sf_dir):
         trigger_seconds=None,
     ).awaitTermination()
     return window_counts(spark, f"{folder}/windows")
+
+
+@query
+def stream_window_late_5m(spark, sf_dir):
+    """Events in no order of time, so that many come late: the counts and the late rows together, per window."""
+    folder = _scratch(spark)
+    events = _window_events(events_table(spark, sf_dir))
+    events.repartition(6, F.xxhash64("source_ts", "op_type")).write.parquet(f"{folder}/events")
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    where = f"{folder}/windows"
+    start_window_tallies(
+        reader.parquet(f"{folder}/events"), where, f"{folder}/checkpoint", trigger_seconds=None
+    ).awaitTermination()
+    fold_tallies(spark, where)
+    late = changes_per_window(late_events(spark, where), watermark=None)
+    both = window_tallies(spark, where).drop("final").unionByName(late)
+    return both.groupBy("window_start", "window_end", "op_type").agg(F.sum("event_count").alias("event_count"))

@@ -313,3 +313,52 @@ def test_a_batch_overtaken_while_it_is_written_moves_on(spark, log, tmp_path, mo
     first.write_bronze(events, number)
     jobs.transform(first)
     assert sorted(r.id for r in first.read(SILVER).collect()) == [1, 2]
+
+
+def test_two_writers_that_list_at_once_get_two_numbers(spark, log, tmp_path, monkeypatch):
+    first, second = (Lake(spark, str(tmp_path / "lake"), USERS, buckets=2) for _ in range(2))
+    one = first.reserve("first-0")
+    with monkeypatch.context() as patch:
+        # The second writer's listing is from before the first one's reservation.
+        patch.setattr(second.folders, "names", lambda *_: [])
+        two = second.reserve("second-0")
+    assert (one, two) == (0, 1)
+    for lake, number, key in ((second, two, 2), (first, one, 1)):
+        assert lake.write_bronze(parse_events(log.frame([log.record("c", key, key)]), USERS), number) == 1
+    jobs.transform(first)
+    assert sorted(r.id for r in second.read(SILVER).collect()) == [1, 2]
+
+
+def test_a_merge_between_write_and_publication_counts_the_batch_once(spark, log, tmp_path, monkeypatch):
+    first, second = (Lake(spark, str(tmp_path / "lake"), USERS, buckets=2) for _ in range(2))
+    alone = first._alone
+
+    def overtaken():
+        # Written but not published: the other writer commits and merges, twice.
+        for key in (1, 3):
+            jobs.ingest(log.frame([log.record("c", key, key)]), second)
+            jobs.transform(second)
+        return alone()
+
+    monkeypatch.setattr(first, "_alone", overtaken)
+    events = parse_events(log.frame([log.record("c", 2, 2)]), USERS)
+    number = first.reserve("first-0")
+    assert first.write_bronze(events, number) == 1
+    assert first.write_bronze(events, first.reserve("first-0")) is None
+    jobs.transform(first)
+    jobs.transform(second)
+    assert sorted(r.id for r in second.read(SILVER).collect()) == [1, 2, 3]
+    assert second.read("gold_daily").agg({"event_count": "sum"}).first()[0] == 3
+
+
+def test_the_lock_of_a_dead_writer_is_taken_over(spark, log, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"), USERS, buckets=2)
+    events = parse_events(log.frame([log.record("c", 2, 2)]), USERS)
+    lake.folders.claim("bronze_lock")
+    monkeypatch.setattr(lake_module, "_LOCK_SECONDS", 0.3)
+    assert lake.write_bronze(events, lake.reserve("a-0")) == 1
+    lake.folders.claim("bronze_lock")
+    monkeypatch.setattr(lake.folders, "age_seconds", lambda *_: 0.0)
+    with pytest.raises(TimeoutError):
+        lake.write_bronze(events, lake.reserve("a-1"))
+    assert lake.last_batch() == 0 and lake.drop_unfinished() != []

@@ -23,14 +23,22 @@ def latest_state(
     bronze: DataFrame, spec: TableSpec, method: str = "window", image: str = "coalesce"
 ) -> DataFrame:
     """Newest event per key, cleansed, with deletes kept so that it can be merged."""
-    rows = bronze.where(_has_key(spec)).select(
+    return _as_state(newest_per_key(_keyed_rows(bronze, spec, image), spec, method), spec)
+
+
+def state_rows(bronze: DataFrame, spec: TableSpec, image: str = "coalesce") -> DataFrame:
+    """Every event with a key as the state row it would leave; for streams, which rank by state."""
+    return _as_state(_keyed_rows(bronze, spec, image), spec)
+
+
+def _keyed_rows(bronze: DataFrame, spec: TableSpec, image: str) -> DataFrame:
+    return bronze.where(_has_key(spec)).select(
         *spec.key_names,
         *[image_value(v, image).alias(v) for v in spec.value_names],
         *ORDER_COLUMNS,
         "op_type",
         "_ingestion_ts",
     )
-    return _as_state(newest_per_key(rows, spec, method), spec)
 
 
 def newest_per_key(rows: DataFrame, spec: TableSpec, method: str = "window") -> DataFrame:

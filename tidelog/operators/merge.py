@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog import schemas
@@ -39,21 +39,24 @@ def apply_changes(
     new = changes.select(*keys, F.struct(*columns).alias("_new"))
     joined = old.join(new, keys, "full_outer")
 
+    merged = joined.select(next_row(mode).alias("_row")).where(F.col("_row").isNotNull())
+    return merged.select(*[F.col(f"_row.{c}").alias(c) for c in columns])
+
+
+def next_row(mode: str = "ordered") -> Column:
+    """The row that a join of ``_old`` and ``_new`` leaves for a key; null if it is gone."""
     is_old, is_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     if mode == "ordered":
         newer = _order("_new") >= _order("_old")
-        row = F.when(is_new & (~is_old | newer), F.col("_new")).otherwise(F.col("_old"))
-    else:
-        delete = F.col("_new.op_type") == DELETE
-        current = F.col("_new.source_ts_ms") >= F.coalesce(F.col("_old.source_ts_ms"), F.lit(0))
-        row = (
-            F.when(is_old & is_new & delete, F.lit(None))
-            .when(is_old & is_new & current, F.col("_new"))
-            .when(is_old, F.col("_old"))
-            .when(~delete, F.col("_new"))
-        )
-    merged = joined.select(row.alias("_row")).where(F.col("_row").isNotNull())
-    return merged.select(*[F.col(f"_row.{c}").alias(c) for c in columns])
+        return F.when(is_new & (~is_old | newer), F.col("_new")).otherwise(F.col("_old"))
+    delete = F.col("_new.op_type") == DELETE
+    current = F.col("_new.source_ts_ms") >= F.coalesce(F.col("_old.source_ts_ms"), F.lit(0))
+    return (
+        F.when(is_old & is_new & delete, F.lit(None))
+        .when(is_old & is_new & current, F.col("_new"))
+        .when(is_old, F.col("_old"))
+        .when(~delete, F.col("_new"))
+    )
 
 
 def _order(side: str):

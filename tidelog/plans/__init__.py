@@ -1,3 +1 @@
-from tidelog.plans import jobs, reports
-
-__all__ = ["jobs", "reports"]
+"""Layer steps, jobs, many topics, reports."""

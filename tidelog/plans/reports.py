@@ -87,6 +87,20 @@ def silver_kpis(silver: DataFrame, spec: TableSpec, approximate: bool = False) -
     )
 
 
+def kept_kpis(figures: DataFrame, domains: DataFrame) -> DataFrame:
+    """The row count, distinct domains and event-time range of :func:`silver_kpis`, from tables that merges carry along.
+
+    Every domain that live rows have is a row of the domain table, so its rows are the distinct count.
+    """
+    distinct = domains.agg(F.count("*").alias("n")).scalar()
+    return figures.select(
+        "total_users",
+        distinct.alias("unique_domains"),
+        event_time(F.col("earliest_ms")).alias("earliest_record"),
+        event_time(F.col("latest_ms")).alias("latest_record"),
+    )
+
+
 def sample_rows(silver: DataFrame, spec: TableSpec, rows: int = 20) -> DataFrame:
     """First ``rows`` live rows by key."""
     domain = [spec.domain_column] if spec.domain_column else []

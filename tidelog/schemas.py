@@ -135,3 +135,15 @@ def gold_daily() -> T.StructType:
 def log_marks() -> T.StructType:
     """Highest stored offset per log partition."""
     return _struct(kafka_topic="string", kafka_partition="int", kafka_offset="bigint")
+
+
+def log_runs() -> T.StructType:
+    """Runs of stored offsets per log partition, cut at the bounds of offset blocks."""
+    return _struct(
+        kafka_topic="string", kafka_partition="int", block="bigint", first_offset="bigint", last_offset="bigint"
+    )
+
+
+def silver_figures() -> T.StructType:
+    """Live rows of Silver and their extremes of event time; one row."""
+    return _struct(total_users="bigint", earliest_ms="bigint", latest_ms="bigint", figures_built_at="timestamp")

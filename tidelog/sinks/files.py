@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _DONE = "_SUCCESS"
@@ -28,6 +31,23 @@ class Folders:
     def make(self, *parts: str) -> None:
         self._fs.mkdirs(self._path(self.at(*parts)))
 
+    def claim(self, *parts: str) -> bool:
+        """Create an empty file; False if it is there already.  One of several callers gets it."""
+        try:
+            self._fs.create(self._path(self.at(*parts)), False).close()
+        except Py4JJavaError as error:
+            if self._fs.exists(self._path(self.at(*parts))):
+                return False
+            raise error
+        return True
+
+    def age_seconds(self, *parts: str) -> float | None:
+        """Seconds since the entry was written, None if it is not there."""
+        path = self._path(self.at(*parts))
+        if not self._fs.exists(path):
+            return None
+        return time.time() - self._fs.getFileStatus(path).getModificationTime() / 1000
+
     def names(self, *parts: str) -> list[str]:
         """Names of the entries directly below, in order.
 

@@ -5,13 +5,16 @@ each numbered by the last Bronze batch it covers and computed only from an older
 version plus the batches after it.  A folder counts once Spark has committed the
 write into it, so a step that dies halfway is invisible and a repeated step
 either finds its result or writes the same one again.  A batch that another writer
-has overtaken is numbered anew, so no derived table leaves it out.
+has overtaken is numbered anew before it can be seen, so no derived table leaves it out.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+import time
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +23,12 @@ from tidelog import schemas
 from tidelog.config import TableSpec
 from tidelog.sinks.files import Folders
 
-SILVER, DOMAIN, DAILY, MARKS = "silver", "gold_domain", "gold_daily", "log_marks"
-VERSIONED = (SILVER, DOMAIN, DAILY, MARKS)
+SILVER, DOMAIN, DAILY, MARKS, RUNS = "silver", "gold_domain", "gold_daily", "log_marks", "log_runs"
+FIGURES, NEWEST = "silver_figures", "newest_events"
+VERSIONED = (SILVER, DOMAIN, DAILY, MARKS, RUNS, FIGURES, NEWEST)
+
+# A lock older than this is a dead writer's.
+_LOCK_SECONDS = 60
 
 # Partitions registered per ALTER TABLE statement.
 _PARTITIONS_PER_STATEMENT = 500
@@ -75,7 +82,12 @@ class Lake:
         mine = [int(number) for number, _, who in taken if who == owner]
         if mine and (max(mine) > newest or self._is_committed(max(mine))):
             return max(mine)
-        number = max([newest, *(int(n) for n, _, _ in taken)], default=-1) + 1
+        return self._claim(max([newest, *(int(n) for n, _, _ in taken)], default=-1) + 1, owner)
+
+    def _claim(self, number: int, owner: str) -> int:
+        """The first free number from ``number`` on, for ``owner`` alone."""
+        while not self.folders.claim("batch_claims", f"{number:012d}"):
+            number += 1
         self.folders.make("batch_owners", f"{number:012d}--{owner}")
         return number
 
@@ -91,6 +103,11 @@ class Lake:
         stale = [(n, who) for n, _, who in names if newest[who.rpartition("-")[0]] != n]
         for number, owner in stale:
             self.folders.drop("batch_owners", f"{number}--{owner}")
+        # New numbers are above the newest batch, so older claims are never asked for again.
+        newest_batch = self.last_batch()
+        for name in self.folders.names("batch_claims"):
+            if int(name) < newest_batch:
+                self.folders.drop("batch_claims", name)
         return len(stale)
 
     def _is_committed(self, number: int) -> bool:
@@ -98,30 +115,47 @@ class Lake:
         return done or number <= self._compacted_through()
 
     def write_bronze(self, events: DataFrame, number: int) -> int | None:
-        """Append one batch; returns its rows, or None if it was there already."""
+        """Append one batch; returns its rows, or None if it was there already.
+
+        The rows are written out of sight and put in place by one rename.  Only one writer at a
+        time does that, and gives the batch a number above every committed one: whoever has listed
+        the history before sees it in none of the numbers listed, and whoever lists it later sees all of it.
+        So a derived table can neither leave the batch out nor count it twice.  That needs
+        a file system whose rename and exclusive create are atomic (HDFS is one, a bare object store is not).
+        """
         if self._is_committed(number):
             return None
-        number = self._ahead(number)
-        path = self.folders.at("bronze", f"batch={number}")
-        rows = _counted(events, lambda df: df.write.mode("overwrite").parquet(path))
-        later = self._ahead(number)
-        if later != number:
-            self.folders.move(("bronze", f"batch={number}"), ("bronze", f"batch={later}"))
+        pending = f"{number:012d}-{uuid.uuid4().hex}"
+        path = self.folders.at("bronze_pending", pending)
+        rows = _counted(events, lambda df: df.write.parquet(path))
+        with self._alone():
+            newest = max(self.last_batch(), *(self.version(table) for table in VERSIONED))
+            if number <= newest:
+                names = [name.partition("--") for name in self.folders.names("batch_owners")]
+                owner = next((who for n, _, who in names if int(n) == number), "late")
+                number = self._claim(newest + 1, owner)
+            self.folders.make("bronze")
+            self.folders.move(("bronze_pending", pending), ("bronze", f"batch={number}"))
         return rows
 
-    def _ahead(self, number: int) -> int:
-        """``number``, or a new one if a derived table has passed it meanwhile.
-
-        Another writer may commit and merge a later batch first.  What is derived from the
-        history covers numbers up to its version, so this batch must come after them.
-        """
-        if number > max(self.version(table) for table in VERSIONED):
-            return number
-        names = [name.partition("--") for name in self.folders.names("batch_owners")]
-        owner = next((who for n, _, who in names if int(n) == number), "late")
-        later = max(self.last_batch(), *(int(n) for n, _, _ in names)) + 1
-        self.folders.make("batch_owners", f"{later:012d}--{owner}")
-        return later
+    @contextmanager
+    def _alone(self) -> Iterator[None]:
+        """Hold the lake's lock, for a moment: no Spark job runs under it."""
+        waited = 0.0
+        while not self.folders.claim("bronze_lock"):
+            age = self.folders.age_seconds("bronze_lock")
+            if age is not None and age > _LOCK_SECONDS:
+                # Its holder died between two renames.
+                self.folders.drop("bronze_lock")
+            elif waited > 2 * _LOCK_SECONDS:
+                raise TimeoutError(f"another writer holds {self.folders.at('bronze_lock')}")
+            else:
+                time.sleep(0.2)
+                waited += 0.2
+        try:
+            yield
+        finally:
+            self.folders.drop("bronze_lock")
 
     def bronze(self, after: int = -1, through: int | None = None) -> DataFrame:
         """History in batches ``after < n <= through``."""
@@ -132,6 +166,10 @@ class Lake:
         ]
         return self._read(paths, schemas.bronze(self.spec))
 
+    def bronze_files(self) -> list[str]:
+        """Folders of the committed pieces of the history."""
+        return [path for _, path in sorted(self._units().items())]
+
     def last_batch(self) -> int:
         """Number of the newest committed batch, -1 if there is none."""
         return max(self._units(), default=-1)
@@ -178,9 +216,10 @@ class Lake:
     def drop_unfinished(self) -> list[str]:
         """Delete folders of writes that were never committed."""
         dropped = []
-        for parent in ("bronze", "bronze_compact", *VERSIONED):
+        for parent in ("bronze", "bronze_compact", "bronze_pending", *VERSIONED):
             for name in self.folders.names(parent):
-                if not self.folders.is_done(parent, name):
+                # What is pending was never put in place, whether its write was committed or not.
+                if parent == "bronze_pending" or not self.folders.is_done(parent, name):
                     self.folders.drop(parent, name)
                     dropped.append(f"{parent}/{name}")
         return dropped
@@ -288,6 +327,9 @@ class Lake:
             DOMAIN: schemas.gold_domain,
             DAILY: schemas.gold_daily,
             MARKS: schemas.log_marks,
+            RUNS: schemas.log_runs,
+            FIGURES: schemas.silver_figures,
+            NEWEST: lambda: schemas.bronze(self.spec),
         }[table]()
 
     # -- SQL names -------------------------------------------------------------

@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelog.functions.events import DELETE
+from tidelog.sinks.keyed import KeyedTable
 from tidelog.sinks.lake import DAILY, DOMAIN, SILVER, VERSIONED, Lake
 
 
-def compact_bronze(lake: Lake, target_bytes: int = 512 * 1024 * 1024) -> tuple[int, int] | None:
+def compact_bronze(
+    lake: Lake, target_bytes: int = 512 * 1024 * 1024, table: KeyedTable | None = None
+) -> tuple[int, int] | None:
     """Rewrite the small batches since the last compaction as larger files.
 
     Only batches that Silver and Gold already cover are taken, so no incremental
     step ever sees half of a compacted piece.  Older pieces are not rewritten:
-    the work follows the new data, not the history.  Returns the first and last
-    batch number, or None when fewer than two batches are waiting.
+    the work follows the new data, not the history.  ``table`` is Silver where it is kept
+    by key.  Returns the first and last batch number, or None when fewer than two batches are waiting.
     """
-    layers = [SILVER, DAILY] + ([DOMAIN] if lake.spec.domain_column else [])
-    covered = min(lake.version(t) for t in layers)
+    layers = [DAILY] + ([DOMAIN] if lake.spec.domain_column else [])
+    silver = table.version() if table else lake.version(SILVER)
+    covered = min(silver, *(lake.version(t) for t in layers))
     first, waiting = lake.loose_batches(through=covered)
     if len(waiting) < 2:
         return None

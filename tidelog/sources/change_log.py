@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,14 +62,18 @@ def read_change_log(
     file_format: str = "parquet",
     settings: Settings | None = None,
     starting: str | None = None,
+    topics: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The change log to its end as a batch DataFrame, from ``starting`` (Kafka only) or the earliest record."""
+    """The change log to its end as a batch DataFrame, from ``starting`` (Kafka only) or the earliest record.
+
+    Of the spec's topic, or of ``topics`` in one scan; files hold whatever they hold.
+    """
     if path is not None:
         return _files(spark.read, file_format).load(path)
     options = kafka_options(settings or Settings.from_env())
     if starting:
         options["startingOffsets"] = starting
-    return spark.read.format("kafka").options(**options).option("subscribe", spec.topic).load()
+    return spark.read.format("kafka").options(**options).option("subscribe", _subscribed(spec, topics)).load()
 
 
 def stream_change_log(
@@ -80,8 +84,9 @@ def stream_change_log(
     file_format: str = "parquet",
     settings: Settings | None = None,
     limits: Mapping[str, str] | None = None,
+    topics: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Change log as a stream.
+    """Change log as a stream, of the spec's topic or of all ``topics``.
 
     Intake per trigger is limited by ``maxOffsetsPerTrigger`` on Kafka, and on
     files by ``limits`` (``maxFilesPerTrigger`` or ``maxBytesPerTrigger``).
@@ -91,7 +96,7 @@ def stream_change_log(
     settings = settings or Settings.from_env()
     intake = {"maxOffsetsPerTrigger": str(settings.max_offsets_per_trigger), **dict(limits or {})}
     reader = spark.readStream.format("kafka").options(**kafka_options(settings))
-    return reader.option("subscribe", spec.topic).options(**intake).load()
+    return reader.option("subscribe", _subscribed(spec, topics)).options(**intake).load()
 
 
 def read_jdbc(
@@ -110,6 +115,58 @@ def read_jdbc(
     return reader.load()
 
 
+def jdbc_partitions(
+    query: str, column: str, lowest: int | None, highest: int | None, partitions: int
+) -> dict[str, str]:
+    """Options that split ``query`` into ranges of ``column``, one connection and task each.
+
+    Spark puts values outside the bounds and nulls into the outer ranges, so no row is lost if
+    the table grows meanwhile.  An empty table, or one with a single value, is read in one piece.
+    """
+    if partitions < 1:
+        raise ValueError("at least one partition is needed")
+    options = {"dbtable": f"({query}) AS part_of"}
+    if lowest is None or highest is None or partitions == 1 or lowest == highest:
+        return options
+    return options | {
+        "partitionColumn": column,
+        "lowerBound": str(lowest),
+        "upperBound": str(highest),
+        "numPartitions": str(min(partitions, highest - lowest + 1)),
+    }
+
+
+def read_jdbc_ranges(
+    spark: SparkSession,
+    query: str,
+    column: str,
+    settings: Settings,
+    *,
+    partitions: int = 32,
+    schema: str | None = None,
+) -> DataFrame:
+    """As :func:`read_jdbc`, in parallel over ranges of the whole-number ``column``.
+
+    Its bounds come from a query that the database answers, one row.
+    """
+    bounds = read_jdbc(
+        spark, f"SELECT MIN({column}) AS lowest, MAX({column}) AS highest FROM ({query}) AS bounds_of", settings
+    ).first()
+    options = jdbc_partitions(query, column, bounds[0], bounds[1], partitions)
+    reader = spark.read.format("jdbc").option("url", settings.jdbc_url).options(**options)
+    if settings.jdbc_user:
+        reader = reader.option("user", settings.jdbc_user)
+    if settings.jdbc_password:
+        reader = reader.option("password", settings.jdbc_password)
+    if schema:
+        reader = reader.option("customSchema", schema)
+    return reader.load()
+
+
+def _subscribed(spec: TableSpec, topics: Sequence[str] | None) -> str:
+    return ",".join(topics) if topics else spec.topic
+
+
 def _files(reader, file_format: str):
     if file_format not in FILE_FORMATS:
         raise ValueError(f"file format must be one of {FILE_FORMATS}, not {file_format!r}")

@@ -10,10 +10,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.config import TableSpec
 from tidelog.operators import daily_changes, domain_counts, drop_seen_events, parse_events
-from tidelog.plans.layers import DEDUPE, advance_gold, advance_silver, fresh_records
+from tidelog.plans.layers import (
+    DEDUPE,
+    advance_daily,
+    advance_gold,
+    advance_keyed,
+    advance_silver,
+    fresh_records,
+)
 from tidelog.sinks import tables
+from tidelog.sinks.keyed import KeyedTable
 from tidelog.sinks.lake import DAILY, SILVER, Lake
 from tidelog.sinks.maintenance import retire_versions
+from tidelog.streaming.progress import observe_events
+from tidelog.streaming.replays import drop_replayed
 
 log = logging.getLogger(__name__)
 
@@ -35,6 +45,9 @@ def start_layers(
     dedupe: str = "none",
     bronze_only: bool = False,
     register: bool = False,
+    table: KeyedTable | None = None,
+    replay_within: str | None = None,
+    metrics: bool = False,
 ) -> StreamingQuery:
     """Start the query; ``trigger_seconds=None`` drains what is there and stops.
 
@@ -49,8 +62,17 @@ def start_layers(
 
     The checkpoint already keeps one query from reading a record twice.
     ``dedupe`` (see :func:`tidelog.plans.layers.fresh_records`) also covers a
-    replay of the log with a new checkpoint.  ``register`` moves the SQL names to
+    replay of the log with a new checkpoint.  ``replay_within`` leaves out copies that come within
+    that span of log time, with bounded state and without a look at what is stored
+    (see :func:`tidelog.streaming.replays.drop_replayed`).  ``register`` moves the SQL names to
     the new tables after every merge.
+
+    With ``table`` Silver is that partitioned table: a merge then costs what its changes
+    touch, and the domain counts follow by differences.
+
+    ``metrics`` counts events by operation, unreadable ones and those without a key while
+    they pass; the counts are part of each progress report.  Events are then parsed in the stream
+    itself, so it needs ``dedupe="none"``.
     """
     if merge_every < 1:
         raise ValueError("merge_every must be at least 1")
@@ -58,6 +80,12 @@ def start_layers(
         merge_every, merge_share = 1, 0.0  # a drained stream ends merged
     if dedupe not in DEDUPE:
         raise ValueError(f"dedupe must be one of {DEDUPE}, not {dedupe!r}")
+    if metrics and dedupe != "none":
+        raise ValueError("metrics need dedupe='none': records are compared before they are parsed")
+    if replay_within:
+        change_log = drop_replayed(change_log, replay_within)
+    if metrics:
+        change_log = observe_events(parse_events(change_log, lake.spec), lake.spec)
 
     def micro_batch(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
@@ -65,7 +93,15 @@ def start_layers(
         merge = not bronze_only and (batch_id + 1) % merge_every == 0
         owner = f"{query_id}-{batch_id}"
         process_batch(
-            batch, owner, lake, merge=merge, merge_share=merge_share, mode=mode, dedupe=dedupe
+            batch,
+            owner,
+            lake,
+            merge=merge,
+            merge_share=merge_share,
+            mode=mode,
+            dedupe=dedupe,
+            table=table,
+            parsed=metrics,
         )
         if merge:
             retire_versions(lake, keep_versions)
@@ -82,12 +118,16 @@ def start_table_layers(
     *,
     query_name: str | None = None,
     trigger_seconds: int | None = 30,
+    replay_within: str | None = None,
 ) -> StreamingQuery:
     """The same three layers in catalog tables that support ``MERGE``.
 
     :func:`tidelog.sinks.bootstrap` creates them.  The catalog's append has no batch
     identity, so a repeated micro-batch leaves out the log positions that Bronze holds.
+    ``replay_within`` leaves out copies in the stream itself, with bounded state; a micro-batch that
+    is repeated after a failure still needs the comparison, so only later batches go without it.
     """
+    first = {"batch": None}
 
     def micro_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -96,7 +136,11 @@ def start_table_layers(
                 log.info("batch %d: no new events", batch_id)
                 return
             session = batch.sparkSession
-            tables.append_rows(drop_seen_events(batch, session.table(spec.bronze_table)), spec.bronze_table)
+            # The first batch of a run may be a repeated one.
+            first["batch"] = batch_id if first["batch"] is None else first["batch"]
+            known = replay_within is not None and batch_id != first["batch"]
+            fresh = batch if known else drop_seen_events(batch, session.table(spec.bronze_table))
+            tables.append_rows(fresh, spec.bronze_table)
             tables.merge_into(batch, spec, spec.silver_table)
             if spec.domain_column:
                 domains = domain_counts(session.table(spec.silver_table), spec)
@@ -106,6 +150,8 @@ def start_table_layers(
         finally:
             batch.unpersist()
 
+    if replay_within:
+        change_log = drop_replayed(change_log, replay_within)
     events = parse_events(change_log, spec)
     return _start(events, micro_batch, checkpoint, query_name, trigger_seconds)
 
@@ -134,16 +180,26 @@ def process_batch(
     merge_share: float = 0.0,
     mode: str = "ordered",
     dedupe: str = "none",
+    table: KeyedTable | None = None,
+    parsed: bool = False,
 ) -> None:
-    """Bronze, then Silver, then Gold for one batch.  Safe to repeat."""
+    """Bronze, then Silver, then Gold for one batch.  Safe to repeat.
+
+    ``parsed`` says that ``change_log`` holds Bronze rows already.
+    """
     number = lake.reserve(owner)
-    events = parse_events(fresh_records(change_log, lake, dedupe), lake.spec)
+    events = change_log if parsed else parse_events(fresh_records(change_log, lake, dedupe), lake.spec)
     rows = lake.write_bronze(events, number)
     log.info("batch %s: bronze batch %d, rows %s", owner, number, rows)
-    waiting = lake.batches(after=min(lake.version(SILVER), lake.version(DAILY)))
+    merged = table.version() if table else lake.version(SILVER)
+    waiting = lake.batches(after=min(merged, lake.version(DAILY)))
     # A batch without rows is no reason to merge, but earlier ones may still wait.
     if not merge or not waiting or (rows == 0 and waiting == [number]):
         return
+    if table:
+        advance_keyed(lake, table, mode)
+        advance_daily(lake)
+        return
     if merge_share and lake.waiting_share() < merge_share:
         return
     advance_silver(lake, mode)

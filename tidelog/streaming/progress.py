@@ -2,23 +2,66 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from tidelog.config import TableSpec
+from tidelog.functions.events import OPERATIONS, UNKNOWN
+
 log = logging.getLogger(__name__)
 
 _SCHEMA = (
     "query_name STRING, query_id STRING, batch_id BIGINT, input_rows BIGINT, "
-    "rows_per_second DOUBLE, duration_ms BIGINT, at STRING, failure STRING"
+    "rows_per_second DOUBLE, duration_ms BIGINT, at STRING, failure STRING, observed STRING"
 )
 
+#: Name of the counts that :func:`observe_events` adds to a stream.
+OBSERVED = "events"
+
 # Rows that are written together.  A terminated query writes what is left.
 _TOGETHER = 20
 
 
+def observe_events(events: DataFrame, spec: TableSpec) -> DataFrame:
+    """``events`` (Bronze rows) with counts that are taken as they pass, without another job.
+
+    One count per operation (``op_INSERT`` and so on), ``unreadable`` (no operation code at
+    all, as unreadable JSON leaves it), ``null_keys`` and ``events``, in the ``observedMetrics`` of each progress report.
+    """
+    names = sorted({*OPERATIONS.values(), UNKNOWN})
+    no_key = F.lit(False)
+    for key in spec.key_names:
+        no_key = no_key | F.col(key).isNull()
+    return events.observe(
+        OBSERVED,
+        F.count(F.lit(1)).alias("events"),
+        *[F.count_if(F.col("op_type") == name).alias(f"op_{name}") for name in names],
+        F.count_if(F.col("op").isNull()).alias("unreadable"),
+        F.count_if(no_key).alias("null_keys"),
+    )
+
+
+def observed_counts(progress: DataFrame) -> DataFrame:
+    """Sums of the observed counts over progress rows: ``measure`` and ``n``.
+
+    A micro-batch that was repeated after a failure has one report per completed try, so
+    its last one counts.
+    """
+    last = progress.where(F.col("observed").isNotNull()).groupBy("query_id", "batch_id").agg(F.max_by("observed", "at").alias("observed"))
+    counts = last.select(F.explode(F.from_json("observed", "map<string,bigint>")).alias("measure", "n"))
+    return counts.groupBy("measure").agg(F.sum("n").alias("n"))
+
+
+def _observed(progress) -> str | None:
+    row = (progress.observedMetrics or {}).get(OBSERVED)
+    return json.dumps(row.asDict()) if row is not None else None
+
+
 class ProgressLog(StreamingQueryListener):
     """Writes the progress reports of every query in the session below ``path``.
 
@@ -44,6 +87,7 @@ class ProgressLog(StreamingQueryListener):
             int(p.durationMs.get("triggerExecution", 0)),
             p.timestamp,
             None,
+            _observed(p),
         )
         log.info("query %s batch %s: %s rows, %.1f rows/s, %s ms", row[0], *row[2:6])
         self._add(row, flush=False)
@@ -51,7 +95,7 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event):
         if event.exception:
             log.error("query %s failed: %s", event.id, event.exception)
-            self._add((None, str(event.id), None, None, None, None, None, event.exception), flush=True)
+            self._add((None, str(event.id), None, None, None, None, None, event.exception, None), flush=True)
         else:
             self.flush()
 
@@ -72,6 +116,11 @@ class ProgressLog(StreamingQueryListener):
             frame = self._spark.createDataFrame(rows, _SCHEMA)
             frame.coalesce(1).write.mode("append").parquet(self._path)
 
+    def settle(self) -> None:
+        """Wait until Spark has delivered the reports so far, and write them."""
+        self._spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        self.flush()
+
     def rows(self) -> list[tuple]:
         """Rows that are not in the table yet."""
         with self._lock:
