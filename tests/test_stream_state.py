@@ -56,6 +56,19 @@ def test_newest_rows_follow_order_not_arrival(feed, log, table, tmp_path, forget
     assert newest(feed, table, tmp_path, forget_deletes_ms=forget) == {1: "lsn", 3: "no time"}
 
 
+def test_expiry_brings_its_own_state_store(spark, feed, log, table, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    known = spark.conf.get(provider)
+    spark.conf.set(provider, plain)
+    try:
+        feed.send(log, [log.record("c", 1, 10, name="a"), log.record("c", 2, 10, name="b"), log.record("d", 2, 40)])
+        assert newest(feed, table, tmp_path, forget_deletes_ms=3_600_000) == {1: "a"}
+        assert spark.conf.get(provider) == plain
+    finally:
+        spark.conf.set(provider, known)
+
+
 def test_a_forgotten_delete_lets_the_key_start_anew(feed, log, table, tmp_path):
     feed.send(log, [log.record("c", 1, 10, name="a"), log.record("c", 2, 10, name="b"), log.record("d", 1, 40)])
     assert newest(feed, table, tmp_path, forget_deletes_ms=1) == {2: "b"}
