@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from tidelog import USERS, schemas
 from tidelog.operators import daily_changes, domain_counts, latest_state, parse_events, to_silver
 from tidelog.plans import jobs
@@ -184,6 +185,21 @@ def test_compaction_keeps_content_and_later_batches(lake, log):
     assert lake.bronze().count() == sum(map(len, made))
 
 
+def test_compaction_deals_rows_out_by_their_size_in_memory(spark, lake, log):
+    # The same text again and again: next to nothing on disk, 2 MB in memory.
+    made = [[log.record("c", k, k, name="x" * 10_000) for k in range(start, start + 100)] for start in (0, 100)]
+    fill(lake, log, made)
+    advance_silver(lake)
+    advance_gold(lake)
+    before = rows(lake.bronze())
+    assert compact_bronze(lake, target_bytes=1 << 30, task_bytes=500_000) == (0, 1)
+    assert rows(lake.bronze()) == before
+    files = lake.bronze().groupBy(F.input_file_name()).agg(F.count("*"), F.min("kafka_offset"), F.max("kafka_offset")).collect()
+    assert len(files) >= 4 and max(n for _, n, _, _ in files) < 100
+    spans = sorted((low, high) for _, _, low, high in files)
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_number_reserved_but_never_written_is_not_lost_in_compaction(lake, log):
     made = batches(log, 4)
     fill(lake, log, made[:1])
