@@ -64,6 +64,18 @@ def test_one_key_rewrites_one_partition(spark, log, table):
     assert [r.name for r in table.read().where("id = 7").collect()] == ["new"]
 
 
+def test_a_merge_leaves_one_file_a_partition(spark, log, table):
+    known = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")  # more than the table has partitions
+    try:
+        table.merge(changes(spark, log, [log.record("c", k, 1) for k in range(400)]), 0)
+        table.merge(changes(spark, log, [log.record("u", k, 2, name="new") for k in range(0, 400, 2)]), 1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", known)
+    assert {part: len(names) for part, names in table.files().items()} == {part: 1 for part in range(8)}
+    assert table.read().where("name = 'new'").count() == 200 and table.read().count() == 400
+
+
 def test_only_touched_partitions_are_read(spark, log, table):
     table.merge(changes(spark, log, [log.record("c", k, 1) for k in range(40)]), 0)
     plan = table.read([3])._jdf.queryExecution().executedPlan().toString()
