@@ -137,3 +137,17 @@ def test_star_components_with_hubs(spark, monkeypatch):
     found = dict(map(tuple, stars.components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert found == {k: 0 for k in [*range(2500), *range(3000, 3041)]} | {6000: 6000, 6001: 6000}
     assert stars.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rounds_on_few_links_are_few_tasks(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = [(k, k + 1) for k in range(0, 400, 2)]
+        found = stars.components(spark.createDataFrame(links, "a long, b long"))
+        assert 0 < len(found.inputFiles()) <= stars.LEAST_TASKS
+        assert dict(map(tuple, found.collect())) == {k: k - k % 2 for k in range(400)}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

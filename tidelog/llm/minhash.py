@@ -191,7 +191,8 @@ def _open_cells(shared: DataFrame, hubs: DataFrame, joined: DataFrame) -> DataFr
     placed = stored(rest.join(known, "node", "left").withColumn("held", F.coalesce("held", "node")), "placed")
     parts = placed.groupBy("key", "held").agg(F.count(F.lit(1)).alias("n"))
     open_ = parts.groupBy("key").agg(F.max_by("held", "n").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    sides = placed.join(open_.select("key", "main"), "key")
+    # Stored, so that the join is one of two tables and Spark can deal a bucket of many members to several tasks.
+    sides = placed.join(stored(open_.select("key", "main"), "open"), "key")
     sides = stored(sides.select("key", "node", "size", "held", (F.col("held") != F.col("main")).alias("other")), "sides")
     tiles = lambda of: F.ceil(
         F.greatest(F.count_if(of) / TILE, F.sum(F.when(of, F.col("size"))) / TILE_SHINGLES)

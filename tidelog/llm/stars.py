@@ -9,6 +9,13 @@ from tidelog.llm.tables import stored
 
 #: A hub is a node with more than one in so many of all links, so there are at most twice as many hubs.
 HUBS = 10_000
+#: Rows that a task writes, and tasks at least: rounds on few links are not dealt over all shuffle partitions.
+TASK_ROWS, LEAST_TASKS = 100_000, 8
+
+
+def _sized(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, stored by as many tasks as these need (at most its partitions)."""
+    return stored(df.coalesce(max(LEAST_TASKS, -(-rows // TASK_ROWS))), name)
 
 
 def _state(links: DataFrame) -> tuple:
@@ -34,28 +41,27 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star links each node's larger neighbours to its smallest neighbour (or itself), small-star
     its smaller ones and itself.  Rounds grow with the logarithm of the longest chain; each is
-    written to the shared folder.  Nodes may be of any type that has an order.
+    written to the shared folder, as is the result.  Nodes may be of any type that has an order.
     """
     # (v, u) with v > u.
-    stars = stored(
-        links.where("a is not null and b is not null and a <> b")
-        .select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
-        .distinct(),
-        "links",
-    )
+    given = links.where("a is not null and b is not null and a <> b")
+    ordered = given.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
+    stars = _sized(ordered.distinct(), "links", links.count())
     before = _state(stars)
     while before[0]:
         both = stars.select(F.col("v").alias("x"), F.col("u").alias("y")).union(stars.select("u", "v"))
         lowest = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"), F.count(F.lit(1)).alias("n"))
-        large = _pointed(both.where("y > x"), 2 * before[0], "x", stored(lowest, "lowest"))
-        large = stored(large.select(F.col("y").alias("v"), F.col("m").alias("u")).where("v > u").distinct(), "large")
+        large = _pointed(both.where("y > x"), 2 * before[0], "x", _sized(lowest, "lowest", 2 * before[0]))
+        large = large.select(F.col("y").alias("v"), F.col("m").alias("u")).where("v > u").distinct()
+        large = _sized(large, "large", before[0])
         lowest = large.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = _pointed(large, before[0], "v", stored(lowest, "lowest"))
+        small = _pointed(large, before[0], "v", _sized(lowest, "lowest", before[0]))
         small = small.select(F.explode(F.array("u", "v")).alias("v"), F.col("m").alias("u"))
-        stars = stored(small.where("v > u").distinct(), "small")
+        stars = _sized(small.where("v > u").distinct(), "small", 2 * before[0])
         after = _state(stars)
         if after == before:
             break
         before = after
     top = stars.select(F.col("u").alias("node"), F.col("u").alias("component"))
-    return stars.select(F.col("v").alias("node"), F.col("u").alias("component")).union(top.distinct())
+    found = stars.select(F.col("v").alias("node"), F.col("u").alias("component")).union(top.distinct())
+    return _sized(found, "components", 2 * before[0])
