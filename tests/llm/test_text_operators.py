@@ -484,6 +484,37 @@ def test_attention_learns_from_every_window(spark, ranks, monkeypatch):
     assert {len(t) for _, t in seen[:-1]} == {50}
 
 
+def test_stored_pieces_are_the_words(spark, ranks):
+    """Texts are cut once: the ids alone give every word and its pairs, those with odd blanks included."""
+    rnd = random.Random(12)
+    bodies = [prose(rnd, 300), None, "", "It's 12345 \u00a0x \u2003 a\x1cb caf\u00e9\u00e9 \u4e2d\u6587 don't ... it's \n\n IT'S", "a" * 5000, " \t "]
+    rows = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string").withColumn("held_out", F.lit(False))
+    stored = {r.doc_id: r.pieces for r in lm_score.corpus_pieces(rows, *ranks).collect()}
+    cutter, opening = lm_score.Pieces(*ranks), lm_score._opening(ranks[0])
+    ids = np.concatenate([np.frombuffer(stored[k], lm_score._kind(len(opening))) for k in range(len(bodies))]).astype(np.int32)
+    tokens = [w for b in bodies for w in [*(b or "").encode().lower().split(), b"\n"]]
+    words = lm_score.Words(ids, opening)
+    assert len(words.number) == len(tokens) and len(words.hash) == len(set(tokens))
+    assert len(set(zip(tokens, words.number.tolist()))) == len(words.hash)
+    assert Counter(words.number.tolist()) == dict(enumerate(words.times.tolist()))
+    assert (words.ids[words.place] == ids).all()
+    one_by_one = [i + 1 for w in tokens for i in (cutter.cut(" " + w.decode()) if w != b"\n" else [-1])]
+    assert ids.tolist() == one_by_one
+    pairs = Counter((p, i) for p, i in zip([0, *one_by_one], one_by_one) if not opening[i]) + Counter((0, i) for i in one_by_one if opening[i])
+    got = Counter()
+    for p, i, n in zip(words.before.tolist(), words.ids.tolist(), np.repeat(words.times, words.size).tolist()):
+        got[p, i] += n
+    assert got == pairs
+
+
+def test_work_by_place_is_as_wide_as_the_classes():
+    """So that the model's width costs no place anything; contexts hold half a window at least."""
+    model = lm_score.new_model(np.ones(3000), (np.array([5]), np.array([3])))
+    assert lm_score.WIDTH >= 4 * lm_score.CLASSES and lm_score.WINDOW >= 16
+    _, kept = lm_score._forward(model, np.zeros((2, lm_score.WINDOW), np.int32))
+    assert all(x.shape[-1] in (lm_score.WINDOW, lm_score.CLASSES) for x in kept)
+
+
 def test_attention_scores_equal_a_slow_loop():
     """Place by place, key by key, without tables, windows or batches."""
     rnd = np.random.default_rng(5)
