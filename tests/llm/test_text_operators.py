@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -507,6 +508,15 @@ def test_stored_pieces_are_the_words(spark, ranks):
     assert got == pairs
 
 
+def test_long_texts_come_in_bounded_parts(monkeypatch):
+    monkeypatch.setattr(lm_score, "PART", 50)
+    each = [b"a" * n for n in (10, 40, 2, 300, 50, 48, 2, 2)]
+    batch = pa.RecordBatch.from_arrays([pa.array(each, pa.binary())], names=["pieces"])
+    parts = [x.column("pieces").to_pylist() for x in lm_score._parts(batch)]
+    assert [[len(x) for x in part] for part in parts] == [[10, 40], [2], [300], [50], [48, 2], [2]]
+    assert list(lm_score._parts(batch.slice(0, 0))) == []
+
+
 def test_work_by_place_is_as_wide_as_the_classes():
     """So that the model's width costs no place anything; contexts hold half a window at least."""
     model = lm_score.new_model(np.ones(3000), (np.array([5]), np.array([3])))
