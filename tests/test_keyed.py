@@ -14,6 +14,7 @@ from tidelog.operators import (
 )
 from tidelog.plans import jobs
 from tidelog.plans.layers import advance_daily, advance_gold, advance_keyed, advance_silver
+from tidelog.sinks import keyed
 from tidelog.sinks.keyed import PART, KeyedTable
 from tidelog.sinks.lake import DAILY, DOMAIN, SILVER
 from tidelog.sinks.maintenance import compact_bronze
@@ -191,3 +192,14 @@ def test_the_daily_tally_needs_no_silver(spark, log, lake):
     jobs.transform(lake)
     # Gold is there already for this history.
     assert advance_gold(lake) == {}
+
+
+def test_merges_at_once_leave_the_setting_as_it_was(spark):
+    known = spark.conf.get(keyed._JOIN_BY_PART)
+    first, second = keyed._joins_by_part(spark), keyed._joins_by_part(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(keyed._JOIN_BY_PART) == "false"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(keyed._JOIN_BY_PART) == known

@@ -1,5 +1,6 @@
 """Stream state: newest rows with expiry, replayed records, observed counts, many topics."""
 
+import threading
 import time
 
 import pytest
@@ -174,6 +175,45 @@ def test_a_failing_topic_does_not_hold_up_the_others(spark, log, lakes, tmp_path
     assert lakes[USERS.topic].bronze().count() == 6 and broken.bronze().count() == 3
 
 
+def test_topics_run_side_by_side_and_those_of_one_lake_in_order(spark, log, lakes, monkeypatch):
+    met, running, order = threading.Barrier(2), set(), []
+
+    def meet(rows, owner, lake, **_):
+        assert spark.sparkContext.getLocalProperty("who") == "caller"
+        met.wait(60)  # broken unless both are here
+
+    def alone(rows, owner, lake, **_):
+        assert not running
+        running.add(owner)
+        time.sleep(0.3)
+        running.remove(owner)
+        order.append(lake)
+
+    parts = dict.fromkeys(lakes, log.frame([]))
+    spark.sparkContext.setLocalProperty("who", "caller")
+    try:
+        monkeypatch.setattr(topics, "process_batch", meet)
+        topics.process_topics(parts, "q-0", lakes)
+    finally:
+        spark.sparkContext.setLocalProperty("who", None)
+    monkeypatch.setattr(topics, "process_batch", alone)
+    topics.process_topics(parts, "q-0", dict.fromkeys(lakes, lakes[USERS.topic]))
+    assert len(order) == 2
+    monkeypatch.setattr(topics, "process_batch", lambda rows, owner, lake, **_: 1 / 0)
+    with pytest.raises(JobFailed) as failed:
+        topics.process_topics(parts, "q-0", lakes)
+    assert set(failed.value.failures) == set(lakes)
+
+
+def test_a_batch_is_dealt_out_into_files_of_bounded_size(spark, log, tmp_path, monkeypatch):
+    monkeypatch.setattr(topics, "_FILE_RECORDS", 2)
+    folders = topics.Folders(spark, str(tmp_path / "staging"))
+    topics.deal_out(log.frame(mixed(log, 9)).coalesce(1), folders, "q-0")
+    files = [n for n in folders.names("topics", "q-0", f"topic={USERS.topic}") if n.endswith(".parquet")]
+    assert len(files) == 3
+    assert topics.topics_of(spark, folders, "q-0")[USERS.topic].count() == 6
+
+
 def test_a_topic_without_a_lake_is_named(spark, log, lakes, tmp_path):
     folders = topics.Folders(spark, str(tmp_path / "staging"))
     strange = [(*r[:2], "7", *r[3:]) for r in mixed(log, 2)]

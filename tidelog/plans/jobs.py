@@ -5,7 +5,10 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,6 +41,7 @@ __all__ = [
     "maintain",
     "run_all",
     "run_stages",
+    "run_together",
     "seed",
     "stop",
     "stream",
@@ -48,6 +52,9 @@ __all__ = [
 
 LAYERS = ("silver", "gold", "all")
 
+# Chains of stages that run at once.
+_TOGETHER = 4
+
 
 class JobFailed(RuntimeError):
     """One or more stages failed; ``failures`` maps stage to exception."""
@@ -100,6 +107,27 @@ def run_stages(stages: dict[str, Callable[[], object]]) -> dict[str, object]:
     return results
 
 
+def run_together(chains: Sequence[dict[str, Callable[[], object]]], spark: SparkSession | None) -> dict[str, object]:
+    """Run chains of stages side by side, the stages of a chain in order, then raise for all that failed.
+
+    Each chain has a thread, which inherits the caller's local properties: stopping a
+    streaming query also stops what its chains run.
+    """
+    if len(chains) < 2:
+        return run_stages(chains[0]) if chains else {}
+    results, failures = {}, {}
+    with ThreadPoolExecutor(_TOGETHER) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(partial(run_stages, chain))) for chain in chains]
+        for chain, future in zip(chains, started):
+            try:
+                results |= future.result()
+            except JobFailed as error:
+                failures |= error.failures
+    if failures:
+        raise JobFailed(failures)
+    return results
+
+
 def seed(
     spark: SparkSession,
     rows: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog import schemas
-from tidelog.plans.jobs import ingest, run_stages
+from tidelog.plans.jobs import ingest, run_stages, run_together
 from tidelog.sinks.files import Folders
 from tidelog.sinks.keyed import KeyedTable
 from tidelog.sinks.lake import Lake
@@ -20,6 +20,9 @@ log = logging.getLogger(__name__)
 
 _QUERY_ID = "sql.streaming.queryId"
 
+# Records of a file that a batch is dealt out into.  A file is read by one task, so that small ones spread evenly.
+_FILE_RECORDS = 25_000
+
 
 def start_topics(
     change_log: DataFrame,
@@ -67,9 +70,8 @@ def start_topics(
 def deal_out(batch: DataFrame, folders: Folders, name: str) -> None:
     """Write the records of a batch by topic, in one pass, unless that is done."""
     if not folders.is_done("topics", name):
-        batch.select(*schemas.CHANGE_LOG.names).write.mode("overwrite").partitionBy("topic").parquet(
-            folders.at("topics", name)
-        )
+        writer = batch.select(*schemas.CHANGE_LOG.names).write.mode("overwrite").partitionBy("topic")
+        writer.option("maxRecordsPerFile", _FILE_RECORDS).parquet(folders.at("topics", name))
 
 
 def topics_of(spark, folders: Folders, name: str) -> dict[str, DataFrame]:
@@ -90,7 +92,11 @@ def process_topics(
     tables: Mapping[str, KeyedTable] | None = None,
     **options,
 ) -> None:
-    """Every topic's records through its layers; failures are raised together once all have run."""
+    """Every topic's records through its layers; failures are raised together once all have run.
+
+    Topics run side by side, as one alone leaves cores idle between and within its many small
+    steps.  Those that share a lake follow one another.
+    """
 
     def stage(topic: str, rows: DataFrame):
         def run() -> None:
@@ -100,7 +106,11 @@ def process_topics(
 
         return run
 
-    run_stages({topic: stage(topic, rows) for topic, rows in parts.items()})
+    chains: dict[str, dict] = {}
+    for topic, rows in parts.items():
+        where = lakes[topic].root if topic in lakes else ""
+        chains.setdefault(where, {})[topic] = stage(topic, rows)
+    run_together(list(chains.values()), next((rows.sparkSession for rows in parts.values()), None))
 
 
 def ingest_topics(change_log: DataFrame, lakes: Mapping[str, Lake], dedupe: str = "exact") -> dict[str, object]:
