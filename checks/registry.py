@@ -63,6 +63,9 @@ QUERIES: dict[str, Query] = {}
 # Intake of a micro-batch; a smaller log is cut into four.
 _INTAKE_BYTES = 256 << 20
 
+# Records of a file of the replayed log, about; each is written by one task.
+_REPLAY_FILE_RECORDS = 250_000
+
 
 def query(fn: Query) -> Query:
     """Register ``fn`` under its name, run in UTC, with portable timestamps out."""
@@ -590,24 +593,36 @@ def stream_keyed_silver(spark, sf_dir):
     return _no_clock(to_silver(table.read(), ACCOUNTS))
 
 
-@query
-def stream_replayed_log(spark, sf_dir):
-    """The log in order of time, its newest third delivered again at the end; each position counts once."""
-    folder = _scratch(spark)
-    lake = Lake(spark, f"{folder}/lake", ACCOUNTS)
-    log = change_log(spark, sf_dir)
-    ends = log.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last")).first()
+def _stage_replay(log: DataFrame, folder: str) -> tuple[int, str]:
+    """The log in order of time in three steps, its newest third again as a fourth; files of a step, span of the replay.
+
+    A step has two files of the log, or as many times two as its records need.
+    """
+    ends = log.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), F.count(F.lit(1)).alias("n")).first()
     third = ends["last"] - (ends["last"] - ends["first"]) / 3
     within = f"{int((ends['last'] - third).total_seconds()) + 3600} seconds"
-    files, clock = Folders(spark, folder), 1_600_000_000_000
+    files, clock = Folders(log.sparkSession, folder), 1_600_000_000_000
+    step = 2 * max(1, -(-ends["n"] // (6 * _REPLAY_FILE_RECORDS)))
     files.make("log")
-    for name, rows, parts in (("whole", log, 6), ("again", log.where(F.col("timestamp") >= F.lit(third)), 2)):
-        rows.repartitionByRange(parts, "timestamp").write.parquet(f"{folder}/{name}")
+    for name, parts in (("whole", 3 * step), ("again", step)):
+        if name == "again":  # from the files, so that the records are not derived once more
+            stored = log.sparkSession.read.schema(schemas.CHANGE_LOG).parquet(f"{folder}/log")
+            log = stored.where(F.col("timestamp") >= F.lit(third))
+        log.repartitionByRange(parts, "timestamp").write.parquet(f"{folder}/{name}")
         for part in (n for n in files.names(name) if n.startswith("part-")):
             clock += 1000  # a file stream reads the oldest file first
             files.set_time(clock, name, part)
             files.move((name, part), ("log", part))
-    reader = spark.readStream.schema(schemas.CHANGE_LOG).option("maxFilesPerTrigger", 2)
+    return step, within
+
+
+@query
+def stream_replayed_log(spark, sf_dir):
+    """The log in order of time, its newest third delivered again at the end; each position counts once."""
+    folder = _scratch(spark)
+    lake = Lake(spark, f"{folder}/lake", ACCOUNTS)
+    step, within = _stage_replay(change_log(spark, sf_dir), folder)
+    reader = spark.readStream.schema(schemas.CHANGE_LOG).option("maxFilesPerTrigger", step)
     start_layers(
         drop_replayed(reader.parquet(f"{folder}/log"), within),
         lake,

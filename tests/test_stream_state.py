@@ -116,6 +116,25 @@ def test_replayed_records_are_left_out(spark, log, lake, tmp_path):
     assert sorted(r.kafka_offset for r in lake.bronze().collect()) == [r[4] for r in records]
 
 
+def test_a_longer_replay_has_more_files_and_the_same_steps(spark, log, tmp_path, monkeypatch):
+    from datetime import datetime, timedelta
+
+    from checks import registry
+
+    start = datetime(2024, 1, 1)
+    records = [(*log.record("c", k, k)[:5], start + timedelta(minutes=k)) for k in range(61)]
+    frame = spark.createDataFrame(records, schemas.CHANGE_LOG)
+    for most, step in ((100, 2), (5, 6)):
+        monkeypatch.setattr(registry, "_REPLAY_FILE_RECORDS", most)
+        folder = tmp_path / f"staged-{most}"
+        assert registry._stage_replay(frame, str(folder)) == (step, f"{20 * 60 + 3600} seconds")
+        files = sorted(folder.glob("log/part-*"), key=lambda f: f.stat().st_mtime)
+        assert len(files) == 4 * step
+        minutes = [[(r.timestamp - start).seconds // 60 for r in spark.read.parquet(str(f)).collect()] for f in files]
+        steps = [sorted(sum(minutes[k : k + step], [])) for k in range(0, 4 * step, step)]
+        assert sum(steps[:3], []) == list(range(61)) and steps[3] == list(range(40, 61))
+
+
 def test_observed_counts_are_stored_with_the_progress(spark, feed, log, lake, tmp_path):
     feed.send(log, [log.record("c", 1, 1), log.record("u", 1, 2), log.record("x", 0, 0, raw="{bad"), log.record(None, 5, 0)])
     feed.send(log, [log.record("d", 1, 3), log.record("t", 2, 3)])
